@@ -82,20 +82,21 @@ def pareto(totals: DataFrame, top: int) -> DataFrame:
     )
 
 
-# The report order of reason rows. These windows run over the few rows of a TOP n.
-_REPORT_ORDER = (
-    F.desc_nulls_last("Duracion_Min"),
-    F.asc_nulls_first("Tipo_General"),
-    F.asc_nulls_first("Motivo_Particular"),
-    F.asc_nulls_first("Clasificacion"),
-    F.asc("Eventos"),
-)
+def _report_order() -> list[Column]:
+    """Order of reason rows. Windows over it run on the few rows of a TOP n."""
+    return [
+        F.desc_nulls_last("Duracion_Min"),
+        F.asc_nulls_first("Tipo_General"),
+        F.asc_nulls_first("Motivo_Particular"),
+        F.asc_nulls_first("Clasificacion"),
+        F.asc("Eventos"),
+    ]
 
 
 def share(reasons: DataFrame) -> DataFrame:
     """Share and running share of the listed rows' own total, one decimal."""
     rows = Window.partitionBy(F.lit(0))
-    running = rows.orderBy(*_REPORT_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.orderBy(*_report_order()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     minutes = F.coalesce("Duracion_Min", F.lit(0.0))
     total, cumulated = F.sum(minutes).over(rows), F.sum(minutes).over(running)
     return reasons.withColumns(
@@ -119,7 +120,7 @@ def np_chart(reasons: DataFrame, top: int = 15, label_length: int = 45) -> DataF
     unscheduled = F.upper("Clasificacion") == "NP"
     flagged = reasons.withColumn("_np", F.coalesce(unscheduled, F.lit(False)))
     kept = flagged.withColumn("_any", F.max("_np").over(rows)).where(F.col("_np") | ~F.col("_any"))
-    ordered = rows.orderBy(*_REPORT_ORDER)
+    ordered = rows.orderBy(*_report_order())
     ranked = kept.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= top)
     ranked = ranked.withColumn("minutes", round_py(F.coalesce("Duracion_Min", F.lit(0.0)), 1))
     running = rows.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -154,7 +155,7 @@ def hierarchy(reasons: DataFrame, top: int = 20) -> DataFrame:
     """Type totals above their motives; nothing for fewer than two reasons."""
     rows = Window.partitionBy(F.lit(0))
     listed = (
-        reasons.orderBy(*_REPORT_ORDER)
+        reasons.orderBy(*_report_order())
         .limit(top)
         .withColumn("_n", F.count("*").over(rows))
         .where(F.col("_n") >= 2)

@@ -193,7 +193,7 @@ def with_tables(body: str) -> str:
 
     def visit(text: str) -> None:
         for name in TABLES:
-            if name not in needed and re.search(rf"\b(FROM|JOIN|,)\s*{name}\b", text):
+            if name not in needed and re.search(rf"(\bFROM|\bJOIN|,)\s*{name}\b", text):
                 visit(TABLES[name])
                 if name not in needed:
                     needed.append(name)
