@@ -222,6 +222,9 @@ def episodes(reads: DataFrame, by: list[str]) -> DataFrame:
 def episode_stops(episodes_df: DataFrame, stops: DataFrame) -> DataFrame:
     """Episodes and stops of the same line that overlap in time, with the overlap in seconds.
 
+    An episode lasts from its first to its last read, both included, so a single
+    read is a moment; a stop ends when the next status begins.
+
     Both sides are listed under each hour they cover and meet on (line, hour). A
     pair is reported only in the hour in which its overlap begins.
     """
@@ -234,7 +237,7 @@ def episode_stops(episodes_df: DataFrame, stops: DataFrame) -> DataFrame:
     right = listed(stops.select("ProductionLineId", "StartDate", "EndDate", "Type"), "StartDate", "EndDate")
     pairs = left.join(right, ["ProductionLineId", "_hour"]).where(
         (F.col("t0") < F.col("EndDate"))
-        & (F.col("StartDate") < F.col("t1"))
+        & (F.col("StartDate") <= F.col("t1"))
         & (F.col("_hour") == hour_bucket(F.greatest("t0", "StartDate")))
     )
     overlap = F.least("t1", "EndDate") - F.greatest("t0", "StartDate")

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftloom.operators.intervals import status_stops
+from shiftloom.session import scratch_path
+from shiftloom.sources.reads import write_reads
+
+_WRITTEN: dict[tuple[str, str], str] = {}
 
 # Shift id, name, start, end, active, start second, end second.
 TEMPLATES = (
@@ -45,6 +49,13 @@ class Plant:
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
+    def reads_path(self) -> str:
+        """Folder of the reads, written by day and shift once per application."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = write_reads(self.reads(), scratch_path(self.spark, "reads"))
+        return _WRITTEN[key]
+
     def templates(self) -> DataFrame:
         return self.spark.createDataFrame(
             [t[:5] for t in TEMPLATES],
