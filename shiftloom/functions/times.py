@@ -35,6 +35,11 @@ DURATION_WORDS = {
 }
 
 
+def interval(n: Column | int, unit: str) -> Column:
+    """``n`` whole units (second, minute, hour, day) as an interval, without decimal arithmetic."""
+    return F.expr(f"INTERVAL '1' {unit.upper()}") * n
+
+
 def second_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions import texts
+from shiftloom.functions.times import interval
 from shiftloom.operators.ordered import row_numbers
 
 
@@ -52,7 +53,7 @@ def retention(threads: DataFrame, messages: DataFrame, now: Column, days: int =
 
     A message whose conversation goes, goes with it.
     """
-    expired = threads.where(F.col("created_at") < now - F.make_dt_interval(days=F.lit(days))).select("thread_id")
+    expired = threads.where(F.col("created_at") < now - interval(days, "day")).select("thread_id")
     return threads.join(expired, "thread_id", "left_anti"), messages.join(expired, "thread_id", "left_anti")
 
 

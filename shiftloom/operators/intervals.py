@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftloom.functions.numbers import divide_or_null, fixed, round_sql
-from shiftloom.functions.texts import status_code, status_label
-from shiftloom.functions.times import format_duration, minutes_of_time, parse_duration_text
+from shiftloom.functions.texts import shift_rank, status_code, status_label
+from shiftloom.functions.times import format_duration, interval, minutes_of_time, parse_duration_text
 from shiftloom.operators.ordered import next_value
 
 # The two stop states of a line.
@@ -98,15 +98,32 @@ def _status_rows(intervals: DataFrame) -> DataFrame:
     )
 
 
+def in_spans(intervals: DataFrame, spans: DataFrame) -> DataFrame:
+    """Status rows of a line from ``_from`` up to before ``_to``.
+
+    Rows meet on (line, calendar day): a span is listed under each day it covers,
+    so a line's history is spread over its days and the range test only sees one
+    day's rows.
+    """
+    spans = spans.where(F.col("_to") > F.col("_from"))
+    days = F.sequence(F.to_date("_from"), F.to_date("_to"))
+    rows = _status_rows(intervals).withColumn("_day", F.to_date("IntervalBegin"))
+    return (
+        rows.join(spans.withColumn("_day", F.explode(days)), ["ProductionLineId", "_day"])
+        .where((F.col("IntervalBegin") >= F.col("_from")) & (F.col("IntervalBegin") < F.col("_to")))
+        .drop("_day", "_from", "_to")
+    )
+
+
 def lookback_counts(intervals: DataFrame, snapshots: DataFrame, shift: bool = True) -> DataFrame:
     """Status runs of each line from its look-back start to its snapshot, both ends included."""
-    span = snapshots.select(
+    begin = F.col("IntervalBegin")
+    spans = snapshots.select(
         "ProductionLineId",
-        F.col("IntervalBegin").alias("_to"),
-        (F.col("IntervalBegin") - F.make_dt_interval(mins=lookback_minutes(shift))).alias("_from"),
+        (begin - interval(lookback_minutes(shift), "minute")).alias("_from"),
+        (begin + F.expr("INTERVAL '0.000001' SECOND")).alias("_to"),
     )
-    rows = _status_rows(intervals).join(span, "ProductionLineId")
-    return count_runs(rows.where(F.col("IntervalBegin").between(F.col("_from"), F.col("_to"))), ["ProductionLineId"])
+    return count_runs(in_spans(intervals, spans), ["ProductionLineId"])
 
 
 def snapshots(
@@ -195,48 +212,34 @@ def day_target_outlook(snapshot: DataFrame) -> DataFrame:
 def in_execution(intervals: DataFrame, shifts: DataFrame, offset_hours: int = 0) -> DataFrame:
     """Intervals within ``[StartDate, EndDate)`` of their line's shifts.
 
-    Rows meet on (line, calendar day): a shift is listed under each day it covers,
-    so the range test only sees that day's rows. ``offset_hours`` moves the shift
-    clock where it runs ahead of the intervals' local clock.
+    ``offset_hours`` moves the shift clock where it runs ahead of the intervals'
+    local clock. A shift without an end has no intervals.
     """
-    shift_by = F.make_dt_interval(hours=F.lit(offset_hours))
+    ahead = interval(offset_hours, "hour")
     spans = shifts.select(
         "WorkShiftExecutionId",
         "ProductionLineId",
-        (F.col("StartDate") - shift_by).alias("_from"),
-        (F.col("EndDate") - shift_by).alias("_to"),
-    )
-    days = F.sequence(F.to_date("_from"), F.greatest(F.to_date("_from"), F.to_date("_to")))
-    spans = spans.where(F.col("_to") > F.col("_from")).withColumn("_day", F.explode(days))
-    rows = _status_rows(intervals).withColumn("_day", F.to_date("IntervalBegin"))
-    return rows.join(spans, ["ProductionLineId", "_day"]).where(
-        (F.col("IntervalBegin") >= F.col("_from")) & (F.col("IntervalBegin") < F.col("_to"))
+        (F.col("StartDate") - ahead).alias("_from"),
+        (F.col("EndDate") - ahead).alias("_to"),
     )
+    return in_spans(intervals, spans)
 
 
-def execution_counts(intervals: DataFrame, shifts: DataFrame, offset_hours: int = 0) -> DataFrame:
-    """Status runs per shift and line; shifts without intervals count 0."""
+def with_counts(shifts: DataFrame, intervals: DataFrame, offset_hours: int = 0) -> DataFrame:
+    """Shifts with the status runs of their line; shifts without intervals count 0."""
     keys = ["WorkShiftExecutionId", "ProductionLineId"]
     counted = count_runs(in_execution(intervals, shifts, offset_hours), keys)
-    return (
-        shifts.select(*keys)
-        .join(counted, keys, "left")
-        .select(
-            *keys,
-            F.coalesce("ParosNoProgramadosCont", F.lit(0).cast("long")).alias("ParosNoProgramadosCont"),
-            F.coalesce("ParosProgramadosCont", F.lit(0).cast("long")).alias("ParosProgramadosCont"),
-        )
+    zero = F.lit(0).cast("long")
+    return shifts.join(counted, keys, "left").withColumns(
+        {c: F.coalesce(F.col(c), zero) for c in ("ParosNoProgramadosCont", "ParosProgramadosCont")}
     )
 
 
 def shift_day(star: DataFrame, intervals: DataFrame, offset_hours: int = 0) -> DataFrame:
     """Stored shift KPIs with stop counts recomputed from the intervals."""
-    from shiftloom.functions.texts import shift_rank
-
-    counts = execution_counts(intervals, star, offset_hours)
     c = F.col
     return (
-        star.join(counts, ["WorkShiftExecutionId", "ProductionLineId"])
+        with_counts(star, intervals, offset_hours)
         .select(
             "Turno",
             "Fecha",

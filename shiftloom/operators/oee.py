@@ -44,7 +44,7 @@ def _zero(name: str) -> Column:
 
 
 def detail(star: DataFrame) -> DataFrame:
-    """One row per shift, newest business date first."""
+    """One row per shift. Unordered, since other reports start from it; see :func:`detail_report`."""
     return star.select(
         "Fecha",
         "Turno",
@@ -58,7 +58,12 @@ def detail(star: DataFrame) -> DataFrame:
         "Quality",
         F.coalesce("UnscheduledStopagesCount", F.lit(0)).alias("ParosNoProgramadosCont"),
         F.coalesce("ScheduledStopagesCount", F.lit(0)).alias("ParosProgramadosCont"),
-    ).orderBy(F.desc("Fecha"), "Turno")
+    )
+
+
+def detail_report(star: DataFrame) -> DataFrame:
+    """Shift rows, newest business date first."""
+    return detail(star).orderBy(F.desc("Fecha"), "Turno")
 
 
 def stored(star: DataFrame, by_rank: bool) -> DataFrame:

@@ -61,6 +61,7 @@ def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str) -> DataF
         *by, F.col(time).alias("_t"), F.col(tie).alias("_tie"), F.col(state).alias("_state")
     ).withColumn("_bucket", hour_bucket(F.col("_t")))
     chunk = Window.partitionBy(*by, "_bucket").orderBy("_t", "_tie")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     marked = chunked.withColumns(
         {
             "_prev": F.lag("_state").over(chunk),
@@ -68,9 +69,9 @@ def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str) -> DataF
         }
     )
     changed = F.col("_prev").isNull() | (F.col("_prev") != F.col("_state"))
-    marked = marked.withColumn("_run", F.sum(changed.cast("int")).over(chunk))
+    marked = marked.withColumn("_run", F.sum(changed.cast("int")).over(chunk.rowsBetween(*so_far)))
     local = marked.groupBy(*by, "_bucket", "_run", "_state").agg(
-        F.min(F.struct("_t", "_tie")).alias("_from"),
+        F.min("_t").alias("_from"),
         F.max("_t").alias("_to"),
         F.count("*").alias("_n"),
         F.max(F.col("_prev").isNull()).alias("_opens"),
@@ -78,14 +79,14 @@ def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str) -> DataF
     )
     kept = local.where(F.col("_state") | F.col("_opens") | F.col("_closes"))
     spread = kept.withColumn("_part", F.when(~F.col("_opens") & ~F.col("_closes"), F.col("_bucket")))
-    chain = Window.partitionBy(*by, "_part").orderBy("_from")
+    chain = Window.partitionBy(*by, "_part").orderBy("_bucket", "_run")
     joins = (
         F.col("_state") & F.col("_opens") & F.lag("_state", 1, False).over(chain) & F.lag("_closes", 1, False).over(chain)
     )
     chained = spread.withColumn("_joins", joins).where("_state")
-    chained = chained.withColumn("_id", F.sum((~F.col("_joins")).cast("int")).over(chain))
+    chained = chained.withColumn("_id", F.sum((~F.col("_joins")).cast("int")).over(chain.rowsBetween(*so_far)))
     return (
         chained.groupBy(*by, "_part", "_id")
-        .agg(F.min("_from._t").alias("t0"), F.max("_to").alias("t1"), F.sum("_n").alias("n"))
+        .agg(F.min("_from").alias("t0"), F.max("_to").alias("t1"), F.sum("_n").alias("n"))
         .drop("_part", "_id")
     )

@@ -89,7 +89,7 @@ def plant_star(p: Plant):
 
 @query("transition_count", "SELECT exec_id, line_id, np_runs, p_runs FROM exec_counts")
 def transition_count(p: Plant):
-    counts = ops.execution_counts(p.intervals(), plant_star(p))
+    counts = ops.with_counts(plant_star(p), p.intervals())
     return counts.select(
         F.col("WorkShiftExecutionId").alias("exec_id"),
         F.col("ProductionLineId").alias("line_id"),

@@ -162,7 +162,7 @@ def oee_by_shift(p: Plant):
 
 @query("oee_detail", 'SELECT * FROM detail ORDER BY "Fecha" DESC, "Turno"')
 def oee_detail(p: Plant):
-    return details(p)
+    return oee.detail_report(star(p, "detail"))
 
 
 STORED = """turno AS "Turno", fecha AS "Fecha", oee AS "OEE", availability AS "Disponibilidad", performance AS "Desempeno",

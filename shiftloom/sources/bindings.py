@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftloom.functions.times import interval
 from shiftloom.operators.intervals import status_stops
 from shiftloom.session import scratch_path
 from shiftloom.sources.reads import write_reads
@@ -25,7 +26,7 @@ TEMPLATES = (
 
 
 def _seconds(n: Column) -> Column:
-    return F.make_dt_interval(secs=n)
+    return interval(n, "second")
 
 
 def _pick(position: int, tid: Column) -> Column:
@@ -57,10 +58,9 @@ class Plant:
         return _WRITTEN[key]
 
     def templates(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [t[:5] for t in TEMPLATES],
-            "WorkShiftTemplateId int, Name string, StartTime string, EndTime string, Active boolean",
-        )
+        """Literal rows, whose exact size the planner knows."""
+        rows = ", ".join(f"({t[0]}, '{t[1]}', '{t[2]}', '{t[3]}', {str(t[4]).lower()})" for t in TEMPLATES)
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t(WorkShiftTemplateId, Name, StartTime, EndTime, Active)")
 
     def executions(self, first: str | None = None, last: str | None = None) -> DataFrame:
         """Shift executions; a day range prunes the stored day, as a day partition would."""
@@ -241,7 +241,7 @@ class Plant:
     def plant_stopages(self) -> DataFrame:
         """Stops read off the intervals, booked on the shift of their line's day in which they begin."""
         start = F.col("StartDate")
-        day = F.to_date(start - F.make_dt_interval(hours=F.lit(7)))
+        day = F.to_date(start - interval(7, "hour"))
         second = F.hour(start) * 3600 + F.minute(start) * 60 + F.second(start)
         tid = F.when(second.between(25200, 55799), 0).when(second.between(55800, 82799), 1).otherwise(2)
         return self.interval_stops().select(
@@ -284,14 +284,14 @@ class Plant:
             F.lit(400.0).alias("MaxValue"),
             (5 + eid % 3).cast("double").alias("CriticalMinValue"),
             (100 + 10 * (eid % 3)).cast("double").alias("CriticalMaxValue"),
-            F.to_date(ts - F.make_dt_interval(hours=F.lit(7))).alias("Day"),
+            F.to_date(ts - interval(7, "hour")).alias("Day"),
             shift.alias("Shift"),
         )
 
     def messages(self) -> DataFrame:
         c = F.col
         conv = c("conv_id").cast("string")
-        begun = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=(c("conv_id") % 60).cast("int"))
+        begun = F.lit("2024-01-01").cast("timestamp_ntz") + interval(c("conv_id") % 60, "day")
         images = F.when(
             c("role") == "assistant",
             F.concat(F.lit('["static/plots/p_'), conv, F.lit('.html", "static/plots/q_'), c("turn").cast("string"), F.lit('.png"]')),
@@ -302,7 +302,7 @@ class Plant:
             "role",
             "text",
             images.alias("images"),
-            (begun + F.make_dt_interval(mins=c("turn").cast("int"))).alias("created_at"),
+            (begun + interval(c("turn"), "minute")).alias("created_at"),
             "conv_id",
         )
 

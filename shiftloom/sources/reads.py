@@ -81,9 +81,13 @@ def load_delivered(spark: SparkSession, base: str, days: list[str], shifts: tupl
 
 
 def write_reads(reads: DataFrame, path: str) -> str:
-    """Reads partitioned by day and shift, each sensor's rows together so that its scans skip row groups."""
+    """Reads partitioned by day and shift.
+
+    Rows are spread by hour, whatever their sensor, and sorted by sensor within a
+    file, so that a scan for one sensor skips the other row groups.
+    """
     (
-        reads.repartition("Day", "Shift", F.pmod(F.hash("ProductionLineControlVariableId"), F.lit(8)))
+        reads.repartition("Day", "Shift", F.hour("LocalTime"))
         .sortWithinPartitions("Day", "Shift", "ProductionLineControlVariableId", "LocalTime")
         .write.partitionBy("Day", "Shift")
         .parquet(path)
