@@ -8,24 +8,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A time of day as text, and the accepted free-form day patterns
-# (day before month).
+# A time of day as text, and the free-form day texts that are read, by
+# shape (day before month).
 TIME_TEXT = r"^\s*([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?\s*$"
-DAY_PATTERNS = (
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "d/M/yyyy",
-    "d-M-yyyy",
-    "d.M.yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "d/M/yyyy HH:mm:ss",
-    "d/M/yyyy HH:mm",
+DAY_SHAPES = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2}$", "d/M/yyyy HH:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}$", "d/M/yyyy HH:mm"),
 )
 
 # Duration words by language (singular, plural), and the last joiner.
@@ -86,15 +86,20 @@ def format_duration(minutes: Column, lang: str = "es") -> Column:
 
 
 def parse_day(text: Column) -> Column:
-    """Day text to ``yyyy-MM-dd``; text that is no day stays as it is."""
+    """Day text to ``yyyy-MM-dd``; text that is no day stays as it is.
+
+    A text is only parsed by the pattern whose shape it has: a failed parse costs an
+    exception.
+    """
     day = F.coalesce(F.trim(text), F.lit(""))
     slashes = r"^(\d{2})/(\d{2})/(\d{4})$"
-    parsed = F.coalesce(*[F.try_to_timestamp(day, F.lit(p)).cast("date") for p in DAY_PATTERNS])
-    return (
-        F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day)
-        .when(day.rlike(slashes), F.regexp_replace(day, slashes, "$3-$2-$1"))
-        .otherwise(F.coalesce(parsed.cast("string"), day))
+    out = F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day).when(
+        day.rlike(slashes), F.regexp_replace(day, slashes, "$3-$2-$1")
     )
+    for shape, pattern in DAY_SHAPES:
+        parsed = F.try_to_timestamp(day, F.lit(pattern)).cast("date").cast("string")
+        out = out.when(day.rlike(shape), F.coalesce(parsed, day))
+    return out.otherwise(day)
 
 
 def period_label(start: Column, end: Column, joiner: str = " a ") -> Column:

@@ -74,58 +74,63 @@ def shift_filter(df: DataFrame, shift: str | None, column: str = "Turno") -> Dat
     return df.where(F.col(column) == shift)
 
 
-def shift_executions(
-    executions: DataFrame,
-    templates: DataFrame,
-    recipe: Recipe,
-    from_day: Day | None = None,
-    to_day: Day | None = None,
-    shift: str | None = None,
-) -> DataFrame:
-    """Executions with their template, business date (``Fecha``) and shift name (``Turno``).
-
-    The date filter also states what it implies for the two stored clock columns.
-    That part holds for any shift length and reaches the scan, which a filter on
-    the computed date cannot.
-    """
-    execs, temps = executions, templates
-    if recipe.closed:
-        execs = execs.where(F.col("Status") == "closed")
-    if recipe.execution_active:
-        execs = execs.where("Active")
-    if recipe.skip_day_off:
-        execs = execs.where(~F.col("DayOff"))
-    if recipe.template_active:
-        temps = temps.where("Active")
-    if from_day is not None and to_day is not None:
-        first, last = day_col(from_day), day_col(to_day)
-        execs = execs.where(
-            ((F.col("StartDate") >= first) & (F.col("StartDate") < F.date_add(last, 1)))
-            | ((F.col("EndDate") >= F.date_add(first, 1)) & (F.col("EndDate") < F.date_add(last, 2)))
-        )
-    out = execs.select("WorkShiftExecutionId", "WorkShiftTemplateId", "StartDate", "EndDate").join(
-        temps.select("WorkShiftTemplateId", F.col("Name").alias("Turno"), "StartTime", "EndTime"),
-        "WorkShiftTemplateId",
-    )
-    out = out.withColumn("Fecha", business_date())
-    if from_day is not None and to_day is not None:
-        out = out.where(F.col("Fecha").between(day_col(from_day), day_col(to_day)))
-    return shift_filter(out, shift).drop("StartTime", "EndTime", "WorkShiftTemplateId")
-
-
-def shift_star(
-    summaries: DataFrame,
-    executions: DataFrame,
-    templates: DataFrame,
-    recipe: Recipe,
-    from_day: Day | None = None,
-    to_day: Day | None = None,
-    shift: str | None = None,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Shifts:
+    """Shift executions and templates with a report's filters: recipe, business-date range, shift name."""
+
+    executions: DataFrame
+    templates: DataFrame
+    recipe: Recipe
+    from_day: Day | None = None
+    to_day: Day | None = None
+    shift: str | None = None
+
+    def _executions(self) -> DataFrame:
+        """Executions by the filters that need no template.
+
+        The date filter on the computed date cannot reach the scan. What it implies
+        for the two stored clock columns can, and holds for any shift length.
+        """
+        rows = self.executions
+        if self.recipe.closed:
+            rows = rows.where(F.col("Status") == "closed")
+        if self.recipe.execution_active:
+            rows = rows.where("Active")
+        if self.recipe.skip_day_off:
+            rows = rows.where(~F.col("DayOff"))
+        if self.from_day is not None and self.to_day is not None:
+            first, last = day_col(self.from_day), day_col(self.to_day)
+            rows = rows.where(
+                ((F.col("StartDate") >= first) & (F.col("StartDate") < F.date_add(last, 1)))
+                | ((F.col("EndDate") >= F.date_add(first, 1)) & (F.col("EndDate") < F.date_add(last, 2)))
+            )
+        return rows.select("WorkShiftExecutionId", "WorkShiftTemplateId", "StartDate", "EndDate")
+
+    def _dated(self, rows: DataFrame) -> DataFrame:
+        """Add shift name (``Turno``) and business date (``Fecha``), and keep the wanted ones."""
+        temps = self.templates.where("Active") if self.recipe.template_active else self.templates
+        temps = temps.select("WorkShiftTemplateId", F.col("Name").alias("Turno"), "StartTime", "EndTime")
+        out = rows.join(temps, "WorkShiftTemplateId").withColumn("Fecha", business_date())
+        if self.from_day is not None and self.to_day is not None:
+            out = out.where(F.col("Fecha").between(day_col(self.from_day), day_col(self.to_day)))
+        return shift_filter(out, self.shift).drop("StartTime", "EndTime", "WorkShiftTemplateId")
+
+    def rows(self) -> DataFrame:
+        return self._dated(self._executions())
+
+    def attach(self, facts: DataFrame) -> DataFrame:
+        """Facts with their shift.
+
+        Facts meet the executions first and the few templates last: the planner then
+        compares the sizes of the two large tables, not of a table and a join.
+        """
+        return self._dated(facts.join(self._executions(), "WorkShiftExecutionId"))
+
+
+def shift_star(summaries: DataFrame, shifts: Shifts) -> DataFrame:
     """Shift summaries with execution and template, filtered by a recipe."""
-    rows = summaries.where("Active") if recipe.summary_active else summaries
-    execs = shift_executions(executions, templates, recipe, from_day, to_day, shift)
-    return rows.drop("Active").join(execs, "WorkShiftExecutionId")
+    rows = summaries.where("Active") if shifts.recipe.summary_active else summaries
+    return shifts.attach(rows.drop("Active"))
 
 
 def on_dates(star: DataFrame, days: list[Day]) -> DataFrame:

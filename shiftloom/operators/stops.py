@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shiftloom.functions.numbers import round_py
 from shiftloom.functions.texts import clip_label
 from shiftloom.functions.times import int_avg, seconds_between
+from shiftloom.operators.business import Shifts
 
 # Fixed value: label of stops without a motive or a motive type.
 UNCLASSIFIED = "Sin Clasificar"
@@ -19,24 +20,22 @@ def stop_class_filter(df: DataFrame, stop_class: str | None, column: Column) ->
     return df.where(column == wanted) if wanted in ("NP", "P") else df
 
 
-def stop_star(stopages: DataFrame, motives: DataFrame, motive_types: DataFrame, execs: DataFrame) -> DataFrame:
+def stop_star(stopages: DataFrame, motives: DataFrame, motive_types: DataFrame, shifts: Shifts) -> DataFrame:
     """Each stop with its shift, and with motive and motive type where it has them."""
-    reasons = motives.select("MotiveId", "MotiveTypeId", F.col("Name").alias("MotiveName"), "StoppageType").join(
-        motive_types.select("MotiveTypeId", F.col("Name").alias("TypeName")), "MotiveTypeId", "left"
-    )
-    stops = stopages.select("MotiveId", "WorkShiftExecutionId", "Type", "StartDate", "EndDate")
-    return stops.join(execs.select("WorkShiftExecutionId", "Fecha", "Turno"), "WorkShiftExecutionId").join(
-        reasons, "MotiveId", "left"
+    stops = stopages.select(
+        "MotiveId", "WorkShiftExecutionId", "Type", F.col("StartDate").alias("StopStart"), F.col("EndDate").alias("StopEnd")
     )
+    return _named(shifts.attach(stops).drop("StartDate", "EndDate"), motives, motive_types)
+
+
+def _named(stops: DataFrame, motives: DataFrame, motive_types: DataFrame) -> DataFrame:
+    reasons = motives.select("MotiveId", "MotiveTypeId", F.col("Name").alias("MotiveName"), "StoppageType")
+    types = motive_types.select("MotiveTypeId", F.col("Name").alias("TypeName"))
+    return stops.join(reasons, "MotiveId", "left").join(types, "MotiveTypeId", "left")
 
 
 def reason_totals(
-    stopages: DataFrame,
-    motives: DataFrame,
-    motive_types: DataFrame,
-    execs: DataFrame,
-    stop_class: str | None = None,
-    by: tuple[str, ...] = (),
+    stopages: DataFrame, motives: DataFrame, motive_types: DataFrame, shifts: Shifts, stop_class: str | None = None
 ) -> DataFrame:
     """Seconds and events per (type name, motive name, motive class, stop class).
 
@@ -44,18 +43,14 @@ def reason_totals(
     motive that holds a large share of all stops is one row by then.
     """
     seconds = seconds_between(F.col("StartDate"), F.col("EndDate"))
+    stops = stopages.where("Active").select("MotiveId", "WorkShiftExecutionId", "Type", seconds.alias("seconds"))
     per_motive = (
-        stopages.where("Active")
-        .select("MotiveId", "WorkShiftExecutionId", "Type", seconds.alias("seconds"))
-        .join(execs.select("WorkShiftExecutionId", *by), "WorkShiftExecutionId")
-        .groupBy("MotiveId", "Type", *by)
+        shifts.attach(stops)
+        .groupBy("MotiveId", "Type")
         .agg(F.sum("seconds").alias("seconds"), F.count("seconds").alias("timed"), F.count("*").alias("events"))
     )
-    named = per_motive.join(
-        motives.select("MotiveId", "MotiveTypeId", F.col("Name").alias("MotiveName"), "StoppageType"), "MotiveId", "left"
-    ).join(motive_types.select("MotiveTypeId", F.col("Name").alias("TypeName")), "MotiveTypeId", "left")
-    named = stop_class_filter(named, stop_class, F.coalesce("StoppageType", "Type"))
-    return named.groupBy("TypeName", "MotiveName", "StoppageType", "Type", *by).agg(
+    named = stop_class_filter(_named(per_motive, motives, motive_types), stop_class, F.coalesce("StoppageType", "Type"))
+    return named.groupBy("TypeName", "MotiveName", "StoppageType", "Type").agg(
         F.sum("seconds").alias("seconds"), F.sum("timed").alias("timed"), F.sum("events").alias("events")
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shiftloom.functions.texts import status_code, status_label
 from shiftloom.operators import intervals as ops
 from shiftloom.operators import stops
-from shiftloom.operators.business import RECIPES, shift_executions, shift_star
+from shiftloom.operators.business import RECIPES, Shifts, shift_star
 from shiftloom.plans.oracle import duration_text, minutes_text, pareto_columns
 from shiftloom.plans.registry import EVENT_FIRST, EVENT_LAST, query, rounded
 from shiftloom.sources.bindings import Plant
@@ -81,10 +81,12 @@ def status_label_query(p: Plant):
     return p.intervals().select(F.col("IntervalSeq").alias("seq"), status_label(code).alias("label"))
 
 
-def plant_star(p: Plant):
-    return shift_star(
-        p.plant_summaries(), p.plant_executions(), p.templates(), RECIPES["shift_day"], EVENT_FIRST, EVENT_LAST
-    )
+def plant_shifts(p: Plant, recipe: str, first: str = EVENT_FIRST, last: str = EVENT_LAST) -> Shifts:
+    return Shifts(p.plant_executions(), p.templates(), RECIPES[recipe], first, last)
+
+
+def plant_star(p: Plant, first: str = EVENT_FIRST, last: str = EVENT_LAST):
+    return shift_star(p.plant_summaries(), plant_shifts(p, "shift_day", first, last))
 
 
 @query("transition_count", "SELECT exec_id, line_id, np_runs, p_runs FROM exec_counts")
@@ -124,10 +126,8 @@ def oee_shift_day(p: Plant):
 
 
 def stops_today(p: Plant):
-    execs = shift_executions(
-        p.plant_executions(), p.templates(), RECIPES["pareto_day_off"], EVENT_FIRST, EVENT_LAST
-    )
-    totals = stops.reason_totals(p.plant_stopages(), p.motives(), p.motive_types(), execs)
+    wanted = plant_shifts(p, "pareto_day_off")
+    totals = stops.reason_totals(p.plant_stopages(), p.motives(), p.motive_types(), wanted)
     return stops.class_totals(stops.pareto(totals, 10))
 
 

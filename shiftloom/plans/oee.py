@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 from shiftloom.functions.numbers import divide_or, divide_or_null, divide_positive_or_one, divide_zero_as_one, round_py
 from shiftloom.functions.texts import shift_rank
 from shiftloom.operators import business, charts, oee
-from shiftloom.operators.business import RECIPES, shift_executions, shift_star
+from shiftloom.operators.business import RECIPES, Shifts, shift_star
 from shiftloom.plans.oracle import duration_text
 from shiftloom.plans.registry import FIRST, LAST, query, rounded
 from shiftloom.sources.bindings import Plant
 
 
+def shifts(p: Plant, recipe: str, first: str | None = None, last: str | None = None, shift: str | None = None) -> Shifts:
+    return Shifts(p.executions(first, last), p.templates(), RECIPES[recipe], first, last, shift)
+
+
 def star(p: Plant, recipe: str, first: str = FIRST, last: str = LAST, shift: str | None = None):
-    return shift_star(p.summaries(), p.executions(first, last), p.templates(), RECIPES[recipe], first, last, shift)
+    return shift_star(p.summaries(), shifts(p, recipe, first, last, shift))
 
 
 def details(p: Plant, first: str = FIRST, last: str = LAST, shift: str | None = None):
@@ -244,9 +248,7 @@ EXEC_COLUMNS = ("WorkShiftExecutionId", "Turno", "Fecha")
 
 
 def executions(p: Plant, first: str | None = None, last: str | None = None, shift: str | None = None):
-    return shift_executions(
-        p.executions(first, last), p.templates(), RECIPES["no_quality"], first, last, shift
-    ).select(*EXEC_COLUMNS)
+    return shifts(p, "no_quality", first, last, shift).rows().select(*EXEC_COLUMNS)
 
 
 EXEC_SQL = """SELECT exec_id AS "WorkShiftExecutionId", turno AS "Turno", fecha AS "Fecha" FROM dated WHERE status = 'closed' AND active"""

@@ -10,7 +10,7 @@ from shiftloom.operators import catalog as cat
 from shiftloom.operators import charts, sensors, stops
 from shiftloom.operators import intervals as iv
 from shiftloom.operators.bundle import day_bundle
-from shiftloom.operators.business import RECIPES, shift_executions, shift_star
+from shiftloom.plans.intervals import plant_shifts, plant_star
 from shiftloom.plans.oracle import pareto_columns
 from shiftloom.plans.registry import EVENT_FIRST, EVENT_LAST, query, rounded
 from shiftloom.sources import reads as rd
@@ -211,11 +211,9 @@ BUNDLE_DAY = "2024-01-15"
 def day_bundle_query(p: Plant):
     day = F.lit(BUNDLE_DAY).cast("date")
     reads = sensors.critical_reads(p.reads().where(F.col("Day") == day), p.catalog())
-    execs = shift_executions(p.plant_executions(), p.templates(), RECIPES["pareto"], BUNDLE_DAY, BUNDLE_DAY)
-    reasons = stops.pareto(stops.reason_totals(p.plant_stopages(), p.motives(), p.motive_types(), execs), 10)
-    star = shift_star(
-        p.plant_summaries(), p.plant_executions(), p.templates(), RECIPES["shift_day"], BUNDLE_DAY, BUNDLE_DAY
-    )
+    wanted = plant_shifts(p, "pareto", BUNDLE_DAY, BUNDLE_DAY)
+    reasons = stops.pareto(stops.reason_totals(p.plant_stopages(), p.motives(), p.motive_types(), wanted), 10)
+    star = plant_star(p, BUNDLE_DAY, BUNDLE_DAY)
     return day_bundle(sensors.summary(reads, p.catalog()), reasons, iv.shift_day(star, p.intervals()))
 
 

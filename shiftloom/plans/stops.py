@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from shiftloom.functions.texts import clip_label
 from shiftloom.functions.times import int_avg, seconds_between
 from shiftloom.operators import business, charts, stops
-from shiftloom.operators.business import RECIPES, shift_executions
+from shiftloom.plans.oee import shifts
 from shiftloom.plans.oracle import pareto_columns
 from shiftloom.plans.registry import FIRST, LAST, query
 from shiftloom.sources.bindings import Plant
 
 
 def totals(p: Plant, recipe: str = "pareto", stop_class: str | None = None, shift: str | None = None):
-    execs = shift_executions(p.executions(FIRST, LAST), p.templates(), RECIPES[recipe], FIRST, LAST, shift)
-    return stops.reason_totals(p.stopages(), p.motives(), p.motive_types(), execs, stop_class)
+    wanted = shifts(p, recipe, FIRST, LAST, shift)
+    return stops.reason_totals(p.stopages(), p.motives(), p.motive_types(), wanted, stop_class)
 
 
 def pareto(p: Plant, top: int, recipe: str = "pareto", stop_class: str | None = None):
@@ -111,11 +111,10 @@ def stop_hierarchy(p: Plant):
     """SELECT exec_id, motive_id, type, start_date, end_date, motive_name, stoppage_type, type_name, fecha, turno FROM stop_rows""",
 )
 def join_stop_star(p: Plant):
-    execs = shift_executions(p.executions(), p.templates(), RECIPES["pareto"])
     c = F.col
-    return stops.stop_star(p.stopages(), p.motives(), p.motive_types(), execs).select(
+    return stops.stop_star(p.stopages(), p.motives(), p.motive_types(), shifts(p, "pareto")).select(
         c("WorkShiftExecutionId").alias("exec_id"), c("MotiveId").alias("motive_id"), c("Type").alias("type"),
-        c("StartDate").alias("start_date"), c("EndDate").alias("end_date"), c("MotiveName").alias("motive_name"),
+        c("StopStart").alias("start_date"), c("StopEnd").alias("end_date"), c("MotiveName").alias("motive_name"),
         c("StoppageType").alias("stoppage_type"), c("TypeName").alias("type_name"), c("Fecha").alias("fecha"),
         c("Turno").alias("turno"),
     )
@@ -127,13 +126,12 @@ def join_stop_star(p: Plant):
       coalesce(motive_name, 'Sin Clasificar') AS motive_name, coalesce(seconds, 0) AS seconds FROM stop_rows""",
 )
 def null_defaults(p: Plant):
-    execs = shift_executions(p.executions(), p.templates(), RECIPES["pareto"])
-    rows = stops.stop_star(p.stopages(), p.motives(), p.motive_types(), execs).select(
+    rows = stops.stop_star(p.stopages(), p.motives(), p.motive_types(), shifts(p, "pareto")).select(
         F.col("WorkShiftExecutionId").alias("exec_id"),
         F.col("MotiveId").alias("motive_id"),
         F.col("TypeName").alias("type_name"),
         F.col("MotiveName").alias("motive_name"),
-        seconds_between(F.col("StartDate"), F.col("EndDate")).alias("seconds"),
+        seconds_between(F.col("StopStart"), F.col("StopEnd")).alias("seconds"),
     )
     labels = {"type_name": stops.UNCLASSIFIED, "motive_name": stops.UNCLASSIFIED}
     return business.null_defaults(rows, labels, ("seconds",))

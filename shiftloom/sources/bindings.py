@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from shiftloom.functions.times import interval
+from shiftloom.operators.conversations import titles
 from shiftloom.operators.intervals import status_stops
 from shiftloom.session import scratch_path
 from shiftloom.sources.reads import write_reads
 
 _WRITTEN: dict[tuple[str, str], str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 # Shift id, name, start, end, active, start second, end second.
 TEMPLATES = (
@@ -25,19 +27,16 @@ TEMPLATES = (
 )
 
 
-def _seconds(n: Column) -> Column:
-    return interval(n, "second")
-
-
-def _pick(position: int, tid: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(t[position]) for t in TEMPLATES]), (tid + 1).cast("int"))
-
-
-def clock_text(seconds: Column) -> Column:
-    """Seconds as ``HH:mm:ss``."""
-    n = seconds.cast("long")
-    parts = (F.floor(n / 3600), F.floor(n % 3600 / 60), n % 60)
-    return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+# Fixed texts: second of the day, and seconds as ``HH:mm:ss``.
+SECOND_OF_DAY = "(hour({0}) * 3600 + minute({0}) * 60 + second({0}))"
+CLOCK = (
+    "concat_ws(':', lpad(string({0} div 3600), 2, '0'), lpad(string({0} % 3600 div 60), 2, '0'),"
+    " lpad(string({0} % 60), 2, '0'))"
+)
+EXEC_ID = "bigint(year({0}) * 10000 + month({0}) * 100 + day({0})) * 10 + {1}"
+STARTS = f"array({', '.join(str(t[5]) for t in TEMPLATES)})"
+ENDS = f"array({', '.join(str(t[6]) for t in TEMPLATES)})"
+IDS = f"array({', '.join(str(t[0]) for t in TEMPLATES)})"
 
 
 class Plant:
@@ -48,7 +47,11 @@ class Plant:
         self.folder = folder.rstrip("/")
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        """A given table; its schema is read from the file footer once."""
+        path = f"{self.folder}/{table}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def reads_path(self) -> str:
         """Folder of the reads, written by day and shift once per application."""
@@ -66,261 +69,221 @@ class Plant:
         """Shift executions; a day range prunes the stored day, as a day partition would."""
         orders = self.raw("orders")
         if first is not None:
-            orders = orders.where(
-                (F.col("o_orderdate") >= F.lit(first).cast("date"))
-                & (F.col("o_orderdate") < F.date_add(F.lit(last or first).cast("date"), 1))
-            )
-        tid = (F.col("o_orderkey") % 3).cast("int")
-        return orders.select(
-            F.col("o_orderkey").alias("WorkShiftExecutionId"),
-            tid.alias("WorkShiftTemplateId"),
-            (F.col("o_orderdate") + _seconds(_pick(5, tid))).alias("StartDate"),
-            (F.col("o_orderdate") + _seconds(_pick(6, tid))).alias("EndDate"),
-            F.when(F.col("o_orderstatus") == "P", "open").otherwise("closed").alias("Status"),
-            (F.col("o_orderkey") % 50 != 0).alias("Active"),
-            (F.col("o_orderpriority") == "5-LOW").alias("DayOff"),
+            orders = orders.where(f"o_orderdate >= DATE '{first}' AND o_orderdate < DATE '{last or first}' + 1")
+        return orders.selectExpr(
+            "o_orderkey AS WorkShiftExecutionId",
+            "int(o_orderkey % 3) AS WorkShiftTemplateId",
+            f"o_orderdate + INTERVAL '1' SECOND * {STARTS}[int(o_orderkey % 3)] AS StartDate",
+            f"o_orderdate + INTERVAL '1' SECOND * {ENDS}[int(o_orderkey % 3)] AS EndDate",
+            "CASE WHEN o_orderstatus = 'P' THEN 'open' ELSE 'closed' END AS Status",
+            "o_orderkey % 50 <> 0 AS Active",
+            "o_orderpriority = '5-LOW' AS DayOff",
         )
 
     def summaries(self) -> DataFrame:
-        c = F.col
-        number = c("l_linenumber")
-        available = c("l_quantity") * 10
-        productive = available * (1 - c("l_discount"))
-        real = c("l_extendedprice") * (1 - c("l_discount"))
-        quality = F.when(c("l_tax") == 0.08, 0.0).otherwise(100 * (1 - c("l_tax")))
-        return self.raw("lineitem").select(
-            c("l_orderkey").alias("WorkShiftExecutionId"),
-            c("l_suppkey").alias("ProductionLineId"),
-            (100 * (1 - c("l_discount")) * (1 - c("l_discount")) * (1 - c("l_tax"))).alias("Oee"),
-            (100 * (1 - c("l_discount"))).alias("Availability"),
-            (100 * (1 - c("l_discount"))).alias("Performance"),
-            F.when(number != 6, quality).alias("Quality"),
-            F.when(number != 4, number).alias("UnscheduledStopagesCount"),
-            F.when(c("l_returnflag") != "A", number % 3).alias("ScheduledStopagesCount"),
-            F.when(number != 3, available - productive).alias("UnscheduledStopageMin"),
-            (number * 5.0).alias("ScheduledStopageMin"),
-            (available + number * 5.0).alias("WorkshiftDurationMin"),
-            available.alias("AvailableTimeMin"),
-            productive.alias("ProductiveTimeMin"),
-            (c("l_extendedprice") * 1.1).alias("ExpectedProductionSummary"),
-            c("l_extendedprice").alias("ExpectedProductionSummaryModified"),
-            real.alias("CurrentProductionSummary"),
-            F.when(number != 5, real * c("l_tax")).alias("ConfiscationKg"),
-            (c("l_extendedprice") / (available / 60.0)).alias("AvgExpectedVelocity"),
-            (real / (available / 60.0)).alias("AvgCurrentVelocity"),
-            (number != 7).alias("Active"),
+        available, real = "l_quantity * 10", "l_extendedprice * (1 - l_discount)"
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey AS WorkShiftExecutionId",
+            "l_suppkey AS ProductionLineId",
+            "100 * (1 - l_discount) * (1 - l_discount) * (1 - l_tax) AS Oee",
+            "100 * (1 - l_discount) AS Availability",
+            "100 * (1 - l_discount) AS Performance",
+            "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_tax = 0.08D THEN 0D ELSE 100 * (1 - l_tax) END AS Quality",
+            "CASE WHEN l_linenumber <> 4 THEN l_linenumber END AS UnscheduledStopagesCount",
+            "CASE WHEN l_returnflag <> 'A' THEN l_linenumber % 3 END AS ScheduledStopagesCount",
+            f"CASE WHEN l_linenumber <> 3 THEN {available} - {available} * (1 - l_discount) END AS UnscheduledStopageMin",
+            "l_linenumber * 5D AS ScheduledStopageMin",
+            f"{available} + l_linenumber * 5D AS WorkshiftDurationMin",
+            f"{available} AS AvailableTimeMin",
+            f"{available} * (1 - l_discount) AS ProductiveTimeMin",
+            "l_extendedprice * 1.1D AS ExpectedProductionSummary",
+            "l_extendedprice AS ExpectedProductionSummaryModified",
+            f"{real} AS CurrentProductionSummary",
+            f"CASE WHEN l_linenumber <> 5 THEN {real} * l_tax END AS ConfiscationKg",
+            f"l_extendedprice / ({available} / 60D) AS AvgExpectedVelocity",
+            f"{real} / ({available} / 60D) AS AvgCurrentVelocity",
+            "l_linenumber <> 7 AS Active",
         )
 
     def stopages(self) -> DataFrame:
-        c = F.col
-        length = c("l_quantity").cast("int") * 60 + c("l_linenumber") * 7
-        ended = (c("l_linenumber") != 2) | (c("l_discount") != 0.0)
-        return self.raw("lineitem").select(
-            c("l_partkey").alias("MotiveId"),
-            c("l_orderkey").alias("WorkShiftExecutionId"),
-            c("l_shipdate").alias("StartDate"),
-            F.when(ended, c("l_shipdate") + _seconds(length)).alias("EndDate"),
-            F.when(c("l_returnflag") == "N", "P").otherwise("NP").alias("Type"),
-            (c("l_linestatus") == "F").alias("Active"),
+        return self.raw("lineitem").selectExpr(
+            "l_partkey AS MotiveId",
+            "l_orderkey AS WorkShiftExecutionId",
+            "l_shipdate AS StartDate",
+            "CASE WHEN l_linenumber <> 2 OR l_discount <> 0 THEN"
+            " l_shipdate + INTERVAL '1' SECOND * (int(l_quantity) * 60 + l_linenumber * 7) END AS EndDate",
+            "CASE WHEN l_returnflag = 'N' THEN 'P' ELSE 'NP' END AS Type",
+            "l_linestatus = 'F' AS Active",
         )
 
     def motives(self) -> DataFrame:
-        size = F.col("p_size")
-        return self.raw("part").where(size > 5).select(
-            F.col("p_partkey").alias("MotiveId"),
-            F.col("p_brand").alias("MotiveTypeId"),
-            F.col("p_name").alias("Name"),
-            F.when(size <= 25, "NP").when(size <= 40, "P").alias("StoppageType"),
+        return self.raw("part").where("p_size > 5").selectExpr(
+            "p_partkey AS MotiveId",
+            "p_brand AS MotiveTypeId",
+            "p_name AS Name",
+            "CASE WHEN p_size <= 25 THEN 'NP' WHEN p_size <= 40 THEN 'P' END AS StoppageType",
         )
 
     def motive_types(self) -> DataFrame:
-        brands = self.raw("part").where(F.col("p_brand") != "Brand#1").select("p_brand").distinct()
-        return brands.select(F.col("p_brand").alias("MotiveTypeId"), F.concat(F.lit("TIPO "), "p_brand").alias("Name"))
+        brands = self.raw("part").where("p_brand <> 'Brand#1'").select("p_brand").distinct()
+        return brands.selectExpr("p_brand AS MotiveTypeId", "'TIPO ' || p_brand AS Name")
 
     def intervals(self) -> DataFrame:
-        c = F.col
-        eid, value, ts = c("event_id"), c("value"), c("ts")
-        code = (
-            F.when(eid % 97 == 0, "MT")
-            .when((c("event_type") == "error") & (eid % 7 == 0), " US")
-            .when(c("event_type") == "error", "US")
-            .when(c("event_type") == "signup", "SS")
-            .when(c("event_type") == "click", "LP")
-            .otherwise("AV")
+        code = """CASE WHEN event_id % 97 = 0 THEN 'MT' WHEN event_type = 'error' AND event_id % 7 = 0 THEN ' US'
+            WHEN event_type = 'error' THEN 'US' WHEN event_type = 'signup' THEN 'SS' WHEN event_type = 'click' THEN 'LP'
+            ELSE 'AV' END"""
+        clocked = self.raw("events").selectExpr("*", f"{SECOND_OF_DAY.format('ts')} AS sod").selectExpr(
+            "*",
+            """CASE WHEN sod >= 82800 THEN sod - 82800 WHEN sod >= 55800 THEN sod - 55800
+                WHEN sod >= 25200 THEN sod - 25200 ELSE sod + 3600 END AS since""",
+            "50 + value / 10 AS a",
+            "double(60 + event_id % 50) AS p",
+            "double(100 - event_id % 6) AS q",
         )
-        second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-        since = (
-            F.when(second >= 82800, second - 82800)
-            .when(second >= 55800, second - 55800)
-            .when(second >= 25200, second - 25200)
-            .otherwise(second + 3600)
-        )
-        a, p, q = 50 + value / 10, (60 + eid % 50).cast("double"), (100 - eid % 6).cast("double")
-        return self.raw("events").select(
-            c("user_id").alias("ProductionLineId"),
-            ts.alias("IntervalBegin"),
-            (ts + _seconds(F.lit(30))).alias("CreatedAt"),
-            eid.alias("IntervalSeq"),
-            (a * p * q / 10000).alias("OEE"),
-            a.alias("OEEAvailability"),
-            p.alias("OEEPerformance"),
-            q.alias("OEEQuality"),
-            code.alias("IntervalProductionLineStatus"),
-            F.when(eid % 5 == 0, (eid % 1000).cast("string"))
-            .otherwise(clock_text(eid * 61 % 86400))
-            .alias("TimeSinceLastStatusChange"),
-            clock_text(since).alias("TimeSinceLastWorkshiftBegin"),
-            clock_text(F.floor(since / 2)).alias("EffectiveAvailableTime"),
-            clock_text(F.floor(since / 8)).alias("ScheduledStopageTime"),
-            clock_text(F.floor(since / 4)).alias("UnscheduledStopageTime"),
-            F.when(eid % 11 == 0, 0.0).otherwise(value * 3).alias("CurrentRate"),
-            (500 + eid % 100).cast("double").alias("ExpectedRate"),
-            (value * 10).alias("CurrentShiftProduction"),
-            (value * 9 + 5).alias("ExpectedShiftProduction"),
-            (value * 20).alias("CurrentProduction"),
-            (4000 + eid % 500).cast("double").alias("ExpectedDayProduction"),
+        return clocked.selectExpr(
+            "user_id AS ProductionLineId",
+            "ts AS IntervalBegin",
+            "ts + INTERVAL '30' SECOND AS CreatedAt",
+            "event_id AS IntervalSeq",
+            "a * p * q / 10000 AS OEE",
+            "a AS OEEAvailability",
+            "p AS OEEPerformance",
+            "q AS OEEQuality",
+            f"{code} AS IntervalProductionLineStatus",
+            f"CASE WHEN event_id % 5 = 0 THEN string(event_id % 1000) ELSE {CLOCK.format('(event_id * 61 % 86400)')} END"
+            " AS TimeSinceLastStatusChange",
+            f"{CLOCK.format('since')} AS TimeSinceLastWorkshiftBegin",
+            f"{CLOCK.format('(since div 2)')} AS EffectiveAvailableTime",
+            f"{CLOCK.format('(since div 8)')} AS ScheduledStopageTime",
+            f"{CLOCK.format('(since div 4)')} AS UnscheduledStopageTime",
+            "CASE WHEN event_id % 11 = 0 THEN 0D ELSE value * 3 END AS CurrentRate",
+            "double(500 + event_id % 100) AS ExpectedRate",
+            "value * 10 AS CurrentShiftProduction",
+            "value * 9 + 5 AS ExpectedShiftProduction",
+            "value * 20 AS CurrentProduction",
+            "double(4000 + event_id % 500) AS ExpectedDayProduction",
         )
 
     def lines(self) -> DataFrame:
-        ids = self.raw("events").select(F.col("user_id").alias("ProductionLineId")).distinct()
-        return ids.withColumn("Name", F.concat(F.lit("Linea "), F.col("ProductionLineId").cast("string")))
+        ids = self.raw("events").select("user_id").distinct()
+        return ids.selectExpr("user_id AS ProductionLineId", "'Linea ' || user_id AS Name")
 
     def plant_executions(self) -> DataFrame:
         """Three shifts for each day that has events."""
-        days = self.raw("events").select(F.to_date("ts").alias("day")).distinct()
-        return days.withColumn("tid", F.explode(F.array(*[F.lit(t[0]) for t in TEMPLATES]))).select(
-            self._exec_id(F.col("day"), F.col("tid")).alias("WorkShiftExecutionId"),
-            F.col("tid").alias("WorkShiftTemplateId"),
-            (F.col("day").cast("timestamp_ntz") + _seconds(_pick(5, F.col("tid")))).alias("StartDate"),
-            (F.col("day").cast("timestamp_ntz") + _seconds(_pick(6, F.col("tid")))).alias("EndDate"),
-            F.lit("closed").alias("Status"),
-            F.lit(True).alias("Active"),
-            (F.dayofmonth("day") % 7 == 0).alias("DayOff"),
+        days = self.raw("events").selectExpr("date(ts) AS day").distinct()
+        return days.selectExpr("day", f"explode({IDS}) AS tid").selectExpr(
+            f"{EXEC_ID.format('day', 'tid')} AS WorkShiftExecutionId",
+            "tid AS WorkShiftTemplateId",
+            f"CAST(day AS TIMESTAMP_NTZ) + INTERVAL '1' SECOND * {STARTS}[tid] AS StartDate",
+            f"CAST(day AS TIMESTAMP_NTZ) + INTERVAL '1' SECOND * {ENDS}[tid] AS EndDate",
+            "'closed' AS Status",
+            "true AS Active",
+            "day(day) % 7 = 0 AS DayOff",
         )
 
-    @staticmethod
-    def _exec_id(day: Column, tid: Column) -> Column:
-        return ((F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("long") * 10 + tid).cast("long")
-
     def plant_summaries(self) -> DataFrame:
         """A summary for each line, day with events, and shift."""
         per_day = (
             self.raw("events")
             .groupBy(F.col("user_id").alias("ProductionLineId"), F.to_date("ts").alias("day"))
-            .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("v"))
+            .agg(F.expr("double(count(*)) AS n"), F.expr("double(sum(CAST(value AS DECIMAL(18,2)))) AS v"))
         )
-        rows = per_day.withColumn("tid", F.explode(F.array(*[F.lit(t[0]) for t in TEMPLATES])))
-        n, v, tid = F.col("n").cast("double"), F.col("v"), F.col("tid")
-        a, p, q = 50 + n, (80 + tid).cast("double"), (100 - tid).cast("double")
-        return rows.select(
-            self._exec_id(F.col("day"), tid).alias("WorkShiftExecutionId"),
+        rows = per_day.selectExpr("*", f"explode({IDS}) AS tid")
+        return rows.selectExpr(
+            f"{EXEC_ID.format('day', 'tid')} AS WorkShiftExecutionId",
             "ProductionLineId",
-            (a * p * q / 10000).alias("Oee"),
-            a.alias("Availability"),
-            p.alias("Performance"),
-            q.alias("Quality"),
-            F.lit(0).alias("UnscheduledStopagesCount"),
-            F.lit(0).alias("ScheduledStopagesCount"),
-            (n * 3).alias("UnscheduledStopageMin"),
-            F.lit(30.0).alias("ScheduledStopageMin"),
-            F.lit(480.0).alias("WorkshiftDurationMin"),
-            F.lit(450.0).alias("AvailableTimeMin"),
-            (450 - n * 3).alias("ProductiveTimeMin"),
-            (v * 1.2).alias("ExpectedProductionSummary"),
-            (v * 1.2).alias("ExpectedProductionSummaryModified"),
-            v.alias("CurrentProductionSummary"),
-            F.lit(0.0).alias("ConfiscationKg"),
-            (v * 1.2 / 8).alias("AvgExpectedVelocity"),
-            (v / 8).alias("AvgCurrentVelocity"),
-            F.lit(True).alias("Active"),
+            "(50 + n) * double(80 + tid) * double(100 - tid) / 10000 AS Oee",
+            "50 + n AS Availability",
+            "double(80 + tid) AS Performance",
+            "double(100 - tid) AS Quality",
+            "0 AS UnscheduledStopagesCount",
+            "0 AS ScheduledStopagesCount",
+            "n * 3 AS UnscheduledStopageMin",
+            "30D AS ScheduledStopageMin",
+            "480D AS WorkshiftDurationMin",
+            "450D AS AvailableTimeMin",
+            "450 - n * 3 AS ProductiveTimeMin",
+            "v * 1.2D AS ExpectedProductionSummary",
+            "v * 1.2D AS ExpectedProductionSummaryModified",
+            "v AS CurrentProductionSummary",
+            "0D AS ConfiscationKg",
+            "v * 1.2D / 8 AS AvgExpectedVelocity",
+            "v / 8 AS AvgCurrentVelocity",
+            "true AS Active",
         )
 
     def interval_stops(self) -> DataFrame:
         return status_stops(self.intervals())
 
     def plant_stopages(self) -> DataFrame:
-        """Stops read off the intervals, booked on the shift of their line's day in which they begin."""
-        start = F.col("StartDate")
-        day = F.to_date(start - interval(7, "hour"))
-        second = F.hour(start) * 3600 + F.minute(start) * 60 + F.second(start)
-        tid = F.when(second.between(25200, 55799), 0).when(second.between(55800, 82799), 1).otherwise(2)
-        return self.interval_stops().select(
-            F.col("ProductionLineId").alias("MotiveId"),
-            self._exec_id(day, tid).alias("WorkShiftExecutionId"),
+        """Stops read off the intervals, booked on the shift of their day in which they begin."""
+        tid = "CASE WHEN sod BETWEEN 25200 AND 55799 THEN 0 WHEN sod BETWEEN 55800 AND 82799 THEN 1 ELSE 2 END"
+        timed = self.interval_stops().selectExpr(
+            "*", f"{SECOND_OF_DAY.format('StartDate')} AS sod", "date(StartDate - INTERVAL '7' HOUR) AS day"
+        )
+        return timed.selectExpr(
+            "ProductionLineId AS MotiveId",
+            f"{EXEC_ID.format('day', tid)} AS WorkShiftExecutionId",
             "StartDate",
             "EndDate",
             "Type",
-            F.lit(True).alias("Active"),
+            "true AS Active",
         )
 
     def catalog(self) -> DataFrame:
-        c = F.col
-        size = c("p_size")
-        return self.raw("part").select(
-            F.concat(F.lit("Var-"), c("p_partkey").cast("string")).alias("ProductionLineControlVariableId"),
-            F.when(size != 50, c("p_name")).alias("Name"),
-            c("p_type").alias("DeviceName"),
-            F.when(size != 49, c("p_brand")).alias("Tag"),
-            F.when(size % 10 != 0, size / 10.0).alias("MinValue"),
-            (50 + size * 2.0).alias("MaxValue"),
-            F.lit(5.0).alias("CriticalMinValue"),
-            (100 + size * 1.0).alias("CriticalMaxValue"),
-            (c("p_partkey") % 3 != 0).alias("IsCritical"),
-            (size > 5).alias("Active"),
+        return self.raw("part").selectExpr(
+            "'Var-' || p_partkey AS ProductionLineControlVariableId",
+            "CASE WHEN p_size <> 50 THEN p_name END AS Name",
+            "p_type AS DeviceName",
+            "CASE WHEN p_size <> 49 THEN p_brand END AS Tag",
+            "CASE WHEN p_size % 10 <> 0 THEN p_size / 10D END AS MinValue",
+            "50 + p_size * 2D AS MaxValue",
+            "5D AS CriticalMinValue",
+            "100 + p_size * 1D AS CriticalMaxValue",
+            "p_partkey % 3 <> 0 AS IsCritical",
+            "p_size > 5 AS Active",
         )
 
     def reads(self) -> DataFrame:
-        c = F.col
-        eid, ts = c("event_id"), c("ts")
-        second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-        shift = F.when(second.between(25200, 55799), "Primer").when(second.between(55800, 82799), "Segundo").otherwise("Tercer")
-        return self.raw("events").select(
-            F.concat(F.lit("Var-"), (c("user_id") % 12).cast("string")).alias("ProductionLineControlVariableId"),
-            c("user_id").alias("ProductionLineId"),
-            eid.alias("ReadSeq"),
-            ts.alias("LocalTime"),
-            F.when(eid % 37 != 0, c("value")).alias("Value"),
-            F.lit(0.0).alias("MinValue"),
-            F.lit(400.0).alias("MaxValue"),
-            (5 + eid % 3).cast("double").alias("CriticalMinValue"),
-            (100 + 10 * (eid % 3)).cast("double").alias("CriticalMaxValue"),
-            F.to_date(ts - interval(7, "hour")).alias("Day"),
-            shift.alias("Shift"),
+        return self.raw("events").selectExpr("*", f"{SECOND_OF_DAY.format('ts')} AS sod").selectExpr(
+            "'Var-' || (user_id % 12) AS ProductionLineControlVariableId",
+            "user_id AS ProductionLineId",
+            "event_id AS ReadSeq",
+            "ts AS LocalTime",
+            "CASE WHEN event_id % 37 <> 0 THEN value END AS Value",
+            "0D AS MinValue",
+            "400D AS MaxValue",
+            "double(5 + event_id % 3) AS CriticalMinValue",
+            "double(100 + 10 * (event_id % 3)) AS CriticalMaxValue",
+            "date(ts - INTERVAL '7' HOUR) AS Day",
+            "CASE WHEN sod BETWEEN 25200 AND 55799 THEN 'Primer' WHEN sod BETWEEN 55800 AND 82799 THEN 'Segundo'"
+            " ELSE 'Tercer' END AS Shift",
         )
 
     def messages(self) -> DataFrame:
-        c = F.col
-        conv = c("conv_id").cast("string")
-        begun = F.lit("2024-01-01").cast("timestamp_ntz") + interval(c("conv_id") % 60, "day")
-        images = F.when(
-            c("role") == "assistant",
-            F.concat(F.lit('["static/plots/p_'), conv, F.lit('.html", "static/plots/q_'), c("turn").cast("string"), F.lit('.png"]')),
-        ).when(c("turn") % 4 == 0, "{bad")
-        return self.raw("conversations").select(
-            F.concat(F.lit("thread_"), conv).alias("thread_id"),
+        return self.raw("conversations").selectExpr(
+            "'thread_' || conv_id AS thread_id",
             "turn",
             "role",
             "text",
-            images.alias("images"),
-            (begun + interval(c("turn"), "minute")).alias("created_at"),
+            """CASE WHEN role = 'assistant'
+                THEN '["static/plots/p_' || conv_id || '.html", "static/plots/q_' || turn || '.png"]'
+                WHEN turn % 4 = 0 THEN '{bad' END AS images""",
+            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + INTERVAL '1' DAY * (conv_id % 60) + INTERVAL '1' MINUTE * turn AS created_at",
             "conv_id",
         )
 
     def user_name(self) -> Column:
         """User of a conversation, from its id."""
-        number = F.regexp_extract("thread_id", r"(\d+)$", 1).cast("long")
-        return F.concat(F.lit("u"), (number % 5).cast("string"))
+        return F.expr("'u' || (bigint(substring_index(thread_id, '_', -1)) % 5)")
 
     def threads(self) -> DataFrame:
-        from shiftloom.operators.conversations import titles
-
         messages = self.messages()
         begun = messages.groupBy("thread_id").agg(F.min("created_at").alias("created_at"))
-        number = F.regexp_extract("thread_id", r"(\d+)$", 1).cast("long")
         return begun.join(titles(messages), "thread_id", "left").select(
             "thread_id",
             self.user_name().alias("user_name"),
             F.coalesce("title", F.lit("")).alias("title"),
             "created_at",
-            (number % 7 != 0).alias("active"),
+            F.expr("bigint(substring_index(thread_id, '_', -1)) % 7 <> 0 AS active"),
         )
