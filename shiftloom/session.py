@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -39,10 +40,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is named by the cluster. Only where it is unset, as
-    in tests, is a local folder made and recorded in the session.
+    in tests on one machine, is a local folder made.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="shiftloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shiftloom-")
