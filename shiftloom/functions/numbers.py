@@ -32,8 +32,9 @@ def divide_positive_or_one(num: Column, den: Column) -> Column:
 
 
 def round_sql(col: Column, places: int) -> Column:
-    """Half away from zero, as SQL warehouses round."""
-    return F.round(col, places)
+    """Half away from zero, as SQL warehouses round floats: scale, round to an integer, scale back."""
+    scale = float(10**places)
+    return F.round(col * F.lit(scale), 0) / F.lit(scale)
 
 
 def round_py(col: Column, places: int) -> Column:
