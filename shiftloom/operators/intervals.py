@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions.numbers import divide_or_null, fixed, round_sql
 from shiftloom.functions.texts import shift_rank, status_code, status_label
 from shiftloom.functions.times import format_duration, interval, minutes_of_time, parse_duration_text
-from shiftloom.operators.ordered import next_value
+from shiftloom.operators.ordered import begun_runs, next_value, time_bucket
 
 # The two stop states of a line.
 UNSCHEDULED, SCHEDULED = "US", "SS"
@@ -77,19 +77,13 @@ def lookback_minutes(shift: bool) -> Column:
 def count_runs(rows: DataFrame, by: list[str]) -> DataFrame:
     """Begun US and SS runs per group of interval rows.
 
-    A group is one line within one shift or look-back, so its size is bounded by
-    the shift's length. A stop under way when the group begins counts once.
+    A stop under way when the group begins counts once.
     """
-    order = Window.partitionBy(*by).orderBy("IntervalBegin", "IntervalSeq")
-    marked = rows.withColumn("_prev", F.lag("_status").over(order))
-
-    def begun(code: str) -> Column:
-        now = F.col("_status") == code
-        return F.count_if(now & (F.col("_prev").isNull() | (F.col("_prev") != code)))
-
-    return marked.groupBy(*by).agg(
-        begun(UNSCHEDULED).alias("ParosNoProgramadosCont"), begun(SCHEDULED).alias("ParosProgramadosCont")
-    )
+    starts = {
+        "ParosNoProgramadosCont": F.col("_status") == UNSCHEDULED,
+        "ParosProgramadosCont": F.col("_status") == SCHEDULED,
+    }
+    return begun_runs(rows, by, "_bucket", "IntervalBegin", "IntervalSeq", starts)
 
 
 def _status_rows(intervals: DataFrame) -> DataFrame:
@@ -107,7 +101,10 @@ def in_spans(intervals: DataFrame, spans: DataFrame) -> DataFrame:
     """
     spans = spans.where(F.col("_to") > F.col("_from"))
     days = F.sequence(F.to_date("_from"), F.to_date("_to"))
-    rows = _status_rows(intervals).withColumn("_day", F.to_date("IntervalBegin"))
+    rows = _status_rows(intervals)
+    rows = rows.withColumns(
+        {"_day": F.to_date("IntervalBegin"), "_bucket": time_bucket(rows, ["ProductionLineId"], "IntervalBegin")}
+    )
     return (
         rows.join(spans.withColumn("_day", F.explode(days)), ["ProductionLineId", "_day"])
         .where((F.col("IntervalBegin") >= F.col("_from")) & (F.col("IntervalBegin") < F.col("_to")))

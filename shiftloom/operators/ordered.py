@@ -1,9 +1,10 @@
 """Ordered operations over long series.
 
 One line or sensor may hold a large share of all rows, so a window over its whole
-history would put that share into one task. Here the window runs per (series,
-hour), and only the first and last rows of each hour, of which there are at most
-two per hour of calendar time, are looked at per series.
+history would put that share into one task. Here the window runs per (series, time
+bucket), and only what lies at the edges of the buckets, of which there are as many
+as the calendar has, is looked at per series. A bucket is an hour; where an hour of
+some series holds very many rows it is a minute or a second.
 """
 
 from __future__ import annotations
@@ -11,15 +12,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shiftloom.functions.times import second_of_day
+
+# Rows of one series in one bucket above which buckets are made finer.
+BUCKET_ROWS = 1_000_000
+
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+
 
 def hour_bucket(ts: Column) -> Column:
     """Calendar hour as an integer, from the clock reading itself."""
     return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
 
 
-def next_value(df: DataFrame, by: list[str], time: str, tie: str, column: str, out: str) -> DataFrame:
+def time_bucket(df: DataFrame, by: list[str], time: str, rows: int = BUCKET_ROWS) -> Column:
+    """Bucket number of ``time``, of a width that fits the fullest (series, hour) of ``df``.
+
+    The width is a scalar subquery: a count per series and hour, run with the query.
+    """
+    counts = df.groupBy(*by, hour_bucket(F.col(time)).alias("_hour")).agg(F.count("*").alias("_n"))
+    most = F.max("_n")
+    width = counts.agg(F.when(most > 60 * rows, 1).when(most > rows, 60).otherwise(3600).alias("width")).scalar()
+    days = F.datediff(F.to_date(time), F.lit("1970-01-01").cast("date")).cast("long")
+    return F.floor((days * 86400 + second_of_day(F.col(time))) / width)
+
+
+def next_value(
+    df: DataFrame, by: list[str], time: str, tie: str, column: str, out: str, rows: int = BUCKET_ROWS
+) -> DataFrame:
     """``column`` of the next row of the same series, null on the last row of the series."""
-    chunked = df.withColumn("_bucket", hour_bucket(F.col(time)))
+    chunked = df.withColumn("_bucket", time_bucket(df, by, time, rows))
     chunk = Window.partitionBy(*by, "_bucket").orderBy(time, tie)
     marked = chunked.withColumns(
         {
@@ -35,33 +57,71 @@ def next_value(df: DataFrame, by: list[str], time: str, tie: str, column: str, o
     return inner.unionByName(last).drop("_bucket", "_first", "_last")
 
 
-def row_numbers(df: DataFrame, by: list[str], time: str, tie: str, out: str) -> DataFrame:
+def row_numbers(df: DataFrame, by: list[str], time: str, tie: str, out: str, rows: int = BUCKET_ROWS) -> DataFrame:
     """Position of each row in its series, from 1."""
-    chunked = df.withColumn("_bucket", hour_bucket(F.col(time)))
-    counts = chunked.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    chunked = df.withColumn("_bucket", time_bucket(df, by, time, rows))
+    return positions(chunked, by, "_bucket", [F.col(time), F.col(tie)], out).drop("_bucket")
+
+
+def positions(df: DataFrame, by: list[str], bucket: str, order: list[Column], out: str) -> DataFrame:
+    """Position in ``by`` from 1, by bucket and then by ``order``; buckets must not cross in that order."""
+    counts = df.groupBy(*by, bucket).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    chunk = Window.partitionBy(*by, "_bucket").orderBy(time, tie)
-    numbered = chunked.withColumn("_rn", F.row_number().over(chunk))
+    numbered = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by, bucket).orderBy(*order)))
     return (
-        numbered.join(offsets, [*by, "_bucket"])
+        numbered.join(offsets, [*by, bucket])
         .withColumn(out, (F.col("_before") + F.col("_rn")).cast("long"))
-        .drop("_bucket", "_rn", "_before")
+        .drop("_rn", "_before")
     )
 
 
-def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str) -> DataFrame:
+def begun_runs(
+    df: DataFrame, by: list[str], bucket: str, time: str, tie: str, starts: dict[str, Column]
+) -> DataFrame:
+    """How many unbroken runs of each condition begin per group, the group's first row included.
+
+    Runs are counted per bucket; a run that goes on from the end of one bucket into
+    the next is then counted once.
+    """
+    chunk = Window.partitionBy(*by, bucket).orderBy(time, tie)
+    flags = df.withColumns({f"_is_{n}": F.coalesce(cond, F.lit(False)) for n, cond in starts.items()})
+    marked = flags.withColumns(
+        {
+            "_first": F.lag(F.lit(True)).over(chunk).isNull(),
+            "_last": F.lead(F.lit(True)).over(chunk).isNull(),
+            **{f"_was_{n}": F.lag(f"_is_{n}", 1, False).over(chunk) for n in starts},
+        }
+    )
+    local = marked.groupBy(*by, bucket).agg(
+        *[F.count_if(F.col(f"_is_{n}") & ~F.col(f"_was_{n}")).alias(f"_n_{n}") for n in starts],
+        *[F.max(F.col(f"_is_{n}") & F.col("_first")).alias(f"_opens_{n}") for n in starts],
+        *[F.max(F.col(f"_is_{n}") & F.col("_last")).alias(f"_closes_{n}") for n in starts],
+    )
+    chain = Window.partitionBy(*by).orderBy(bucket)
+    goes_on = {f"_on_{n}": F.col(f"_opens_{n}") & F.lag(f"_closes_{n}", 1, False).over(chain) for n in starts}
+    return (
+        local.withColumns(goes_on)
+        .groupBy(*by)
+        .agg(*[F.sum(F.col(f"_n_{n}") - F.col(f"_on_{n}").cast("long")).alias(n) for n in starts])
+    )
+
+
+def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str, rows: int = BUCKET_ROWS) -> DataFrame:
     """Unbroken runs of rows whose boolean ``state`` is true: first time, last time, rows.
 
-    Runs are built per (series, hour). Those that touch the edge of an hour are
-    then chained along the series; the others are final, and keep their hour as
-    part of the partition key so that they stay spread.
+    Runs are built per bucket. Those that touch the edge of a bucket are then chained
+    along the series; the others are final, and keep their bucket as part of the
+    partition key so that they stay spread.
     """
     chunked = df.select(
-        *by, F.col(time).alias("_t"), F.col(tie).alias("_tie"), F.col(state).alias("_state")
-    ).withColumn("_bucket", hour_bucket(F.col("_t")))
+        *by,
+        F.col(time).alias("_t"),
+        F.col(tie).alias("_tie"),
+        F.col(state).alias("_state"),
+        time_bucket(df, by, time, rows).alias("_bucket"),
+    )
     chunk = Window.partitionBy(*by, "_bucket").orderBy("_t", "_tie")
-    so_far = (Window.unboundedPreceding, Window.currentRow)
     marked = chunked.withColumns(
         {
             "_prev": F.lag("_state").over(chunk),
@@ -69,7 +129,7 @@ def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str) -> DataF
         }
     )
     changed = F.col("_prev").isNull() | (F.col("_prev") != F.col("_state"))
-    marked = marked.withColumn("_run", F.sum(changed.cast("int")).over(chunk.rowsBetween(*so_far)))
+    marked = marked.withColumn("_run", F.sum(changed.cast("int")).over(chunk.rowsBetween(*_SO_FAR)))
     local = marked.groupBy(*by, "_bucket", "_run", "_state").agg(
         F.min("_t").alias("_from"),
         F.max("_t").alias("_to"),
@@ -84,7 +144,7 @@ def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str) -> DataF
         F.col("_state") & F.col("_opens") & F.lag("_state", 1, False).over(chain) & F.lag("_closes", 1, False).over(chain)
     )
     chained = spread.withColumn("_joins", joins).where("_state")
-    chained = chained.withColumn("_id", F.sum((~F.col("_joins")).cast("int")).over(chain.rowsBetween(*so_far)))
+    chained = chained.withColumn("_id", F.sum((~F.col("_joins")).cast("int")).over(chain.rowsBetween(*_SO_FAR)))
     return (
         chained.groupBy(*by, "_part", "_id")
         .agg(F.min("_from").alias("t0"), F.max("_to").alias("t1"), F.sum("_n").alias("n"))

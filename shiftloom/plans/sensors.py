@@ -201,12 +201,12 @@ BUNDLE_DAY = "2024-01-15"
         ORDER BY seconds DESC NULLS LAST, type_name NULLS FIRST, motive_name NULLS FIRST, stoppage_type NULLS FIRST, type NULLS FIRST LIMIT 10),
       rn AS (SELECT {pareto_columns(mean=False)} FROM r),
       o AS (SELECT e.turno, e.tid, x.line_id, x.oee FROM plant_summaries x JOIN plant_executions e ON x.exec_id = e.exec_id WHERE e.fecha = DATE '{BUNDLE_DAY}')
-    SELECT 'sensor_summary' AS section, row_number() OVER (ORDER BY {WORST})::INT AS rank, device || ' — ' || name AS name, out_pct AS value FROM s
-    UNION ALL SELECT 'sensors_with_deviations', row_number() OVER (ORDER BY {WORST})::INT, device || ' — ' || name || ': ' || out_pct || '% fuera de rango (avg='
+    SELECT 'sensor_summary' AS section, row_number() OVER (ORDER BY {WORST}) AS rank, device || ' — ' || name AS name, out_pct AS value FROM s
+    UNION ALL SELECT 'sensors_with_deviations', row_number() OVER (ORDER BY {WORST}), device || ' — ' || name || ': ' || out_pct || '% fuera de rango (avg='
       || avg_value || ', min=' || min_value || ', max=' || max_value || ')', out_pct FROM s WHERE out_pct > 5
-    UNION ALL SELECT 'top_paros_del_dia', row_number() OVER (ORDER BY "Duracion_Min" DESC NULLS LAST, "Tipo_General", "Motivo_Particular", "Clasificacion", "Eventos")::INT,
+    UNION ALL SELECT 'top_paros_del_dia', row_number() OVER (ORDER BY "Duracion_Min" DESC NULLS LAST, "Tipo_General", "Motivo_Particular", "Clasificacion", "Eventos"),
       "Tipo_General" || ' / ' || "Motivo_Particular" || ' / ' || "Clasificacion", "Duracion_Min" FROM rn
-    UNION ALL SELECT 'oee_por_turno', row_number() OVER (ORDER BY tid, line_id)::INT, turno || ' / ' || line_id, oee FROM o""",
+    UNION ALL SELECT 'oee_por_turno', row_number() OVER (ORDER BY tid, line_id), turno || ' / ' || line_id, oee FROM o""",
 )
 def day_bundle_query(p: Plant):
     day = F.lit(BUNDLE_DAY).cast("date")

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from shiftloom.operators.ordered import next_value, row_numbers, runs
+from shiftloom.operators.ordered import begun_runs, next_value, row_numbers, runs, time_bucket
 
 START = datetime(2024, 1, 1)
 
@@ -35,8 +35,13 @@ def by_line(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_runs(spark, seed):
+# Rows per bucket: hours, minutes and seconds are all put to use.
+SIZES = [1_000_000, 3, 0]
+
+
+@pytest.mark.parametrize("size", SIZES)
+@pytest.mark.parametrize("seed", range(2))
+def test_runs(spark, seed, size):
     rows = series(seed)
     expected = []
     for line, items in by_line(rows).items():
@@ -50,26 +55,26 @@ def test_runs(spark, seed):
                 current = None
         if current:
             expected.append((line, *current))
-    got = [tuple(r) for r in runs(frame(spark, rows), ["line"], "t", "seq", "state").select("line", "t0", "t1", "n").collect()]
+    got = [tuple(r) for r in runs(frame(spark, rows), ["line"], "t", "seq", "state", size).select("line", "t0", "t1", "n").collect()]
     assert sorted(got) == sorted(expected)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_next_value(spark, seed):
+@pytest.mark.parametrize("seed, size", enumerate(SIZES))
+def test_next_value(spark, seed, size):
     rows = series(seed)
     expected = []
     for items in by_line(rows).values():
         for here, after in zip(items, [*items[1:], None]):
             expected.append((here[2], after[1] if after else None))
-    out = next_value(frame(spark, rows), ["line"], "t", "seq", "t", "after").select("seq", "after")
+    out = next_value(frame(spark, rows), ["line"], "t", "seq", "t", "after", size).select("seq", "after")
     assert sorted((tuple(r) for r in out.collect()), key=str) == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_row_numbers(spark, seed):
+@pytest.mark.parametrize("seed, size", enumerate(SIZES))
+def test_row_numbers(spark, seed, size):
     rows = series(seed)
     expected = sorted((r[2], i) for items in by_line(rows).values() for i, r in enumerate(items, start=1))
-    out = row_numbers(frame(spark, rows), ["line"], "t", "seq", "n").select("seq", "n")
+    out = row_numbers(frame(spark, rows), ["line"], "t", "seq", "n", size).select("seq", "n")
     assert sorted(tuple(r) for r in out.collect()) == expected
 
 
@@ -83,3 +88,24 @@ def test_no_true_rows(spark):
     rows = [(1, START, 0, False)]
     assert runs(frame(spark, rows), ["line"], "t", "seq", "state").count() == 0
     assert frame(spark, rows).where(F.col("state")).count() == 0
+
+
+@pytest.mark.parametrize("seed, size", enumerate(SIZES))
+def test_begun_runs(spark, seed, size):
+    rows = series(seed)
+    expected = []
+    for line, items in by_line(rows).items():
+        states = [r[3] for r in items]
+        begun = [sum(s == want and (i == 0 or states[i - 1] != want) for i, s in enumerate(states)) for want in (True, False)]
+        expected.append((line, *begun))
+    df = frame(spark, rows)
+    df = df.withColumn("b", time_bucket(df, ["line"], "t", size))
+    out = begun_runs(df, ["line"], "b", "t", "seq", {"on": F.col("state"), "off": ~F.col("state")})
+    assert sorted(tuple(r) for r in out.select("line", "on", "off").collect()) == sorted(expected)
+
+
+def test_bucket_width_follows_the_fullest_hour(spark):
+    rows = [(1, START + timedelta(seconds=20 * i), i, True) for i in range(180)]
+    df = frame(spark, rows)
+    counts = [df.select(time_bucket(df, ["line"], "t", size).alias("b")).distinct().count() for size in (180, 100, 2)]
+    assert counts == [1, 60, 180]
