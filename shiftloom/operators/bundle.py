@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftloom.functions.texts import shift_rank
@@ -10,11 +10,22 @@ from shiftloom.operators.ordered import positions
 from shiftloom.operators.sensors import deviation_text, high_deviation
 
 
-def _section(df: DataFrame, section: str, bucket: Column, order: list[Column], name: Column, value: Column) -> DataFrame:
-    """Ranked rows of one section. ``bucket`` is a coarse form of the order by which the ranking is spread."""
-    rows = df.withColumns({"section": F.lit(section), "_bucket": bucket})
-    ranked = positions(rows, ["section"], "_bucket", order, "rank")
-    return ranked.select("section", "rank", name.alias("name"), value.cast("double").alias("value"))
+def _section(
+    df: DataFrame, section: str, bucket: Column | None, order: list[Column], name: Column, value: Column
+) -> DataFrame:
+    """Ranked rows of one section.
+
+    ``bucket`` is a coarse form of the order by which the ranking is spread; the few
+    rows of a TOP n need none.
+    """
+    if bucket is None:
+        rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long")
+        ranked = df.withColumn("rank", rank)
+    else:
+        ranked = positions(df.withColumn("_bucket", bucket), [], "_bucket", order, "rank")
+    return ranked.select(
+        F.lit(section).alias("section"), "rank", name.alias("name"), value.cast("double").alias("value")
+    )
 
 
 def day_bundle(summary: DataFrame, reasons: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -28,7 +39,7 @@ def day_bundle(summary: DataFrame, reasons: DataFrame, shifts: DataFrame) -> Dat
         _section(
             reasons,
             "top_paros_del_dia",
-            F.lit(0),
+            None,
             [F.desc_nulls_last("Duracion_Min"), F.asc("Tipo_General"), F.asc("Motivo_Particular"), F.asc("Clasificacion"), F.asc("Eventos")],
             F.concat_ws(" / ", "Tipo_General", "Motivo_Particular", "Clasificacion"),
             c("Duracion_Min"),
