@@ -44,6 +44,12 @@ def second_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def epoch_second(ts: Column) -> Column:
+    """Whole seconds since 1970 of a clock reading, whatever the session time zone."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + second_of_day(ts)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed from ``start`` to ``end`` (0.9 s to 1.1 s counts 1)."""
     days = F.datediff(F.to_date(end), F.to_date(start)).cast("long")

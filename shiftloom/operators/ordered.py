@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftloom.functions.times import second_of_day
+from shiftloom.functions.times import epoch_second
 
 # Rows of one series in one bucket above which buckets are made finer.
 BUCKET_ROWS = 1_000_000
@@ -33,8 +33,7 @@ def time_bucket(df: DataFrame, by: list[str], time: str, rows: int = BUCKET_ROWS
     counts = df.groupBy(*by, hour_bucket(F.col(time)).alias("_hour")).agg(F.count("*").alias("_n"))
     most = F.max("_n")
     width = counts.agg(F.when(most > 60 * rows, 1).when(most > rows, 60).otherwise(3600).alias("width")).scalar()
-    days = F.datediff(F.to_date(time), F.lit("1970-01-01").cast("date")).cast("long")
-    return F.floor((days * 86400 + second_of_day(F.col(time))) / width)
+    return F.floor(epoch_second(F.col(time)) / width)
 
 
 def next_value(

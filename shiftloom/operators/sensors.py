@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions.numbers import divide_or_null, fixed, round_py
+from shiftloom.functions.times import epoch_second
 from shiftloom.operators.catalog import critical_ids, with_names
-from shiftloom.operators.ordered import hour_bucket, runs
+from shiftloom.operators.ordered import runs
 
 
 def out_of(value: Column, low: Column, high: Column) -> Column:
@@ -219,28 +220,53 @@ def episodes(reads: DataFrame, by: list[str]) -> DataFrame:
     return runs(flagged, by, "LocalTime", "ReadSeq", "is_out")
 
 
+# Bucket widths, in seconds, at which spans of time meet: second, minute, hour, day.
+SPAN_WIDTHS = (1, 60, 3600, 86400)
+
+
+def _levelled(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Spans with their first and last second, and the smallest width that is not shorter than they are."""
+    spans = df.withColumns({"_s": epoch_second(F.col(start)), "_e": epoch_second(F.col(end))})
+    length = F.col("_e") - F.col("_s")
+    level = F.lit(SPAN_WIDTHS[-1])
+    for width in reversed(SPAN_WIDTHS[:-1]):
+        level = F.when(length <= width, F.lit(width)).otherwise(level)
+    return spans.withColumn("_level", level)
+
+
+def _listed(spans: DataFrame, widths: Column) -> DataFrame:
+    """Spans listed under each bucket they cover, at each of the given widths."""
+    at_width = spans.withColumn("_width", F.explode(widths))
+    first, last = F.floor(F.col("_s") / F.col("_width")), F.floor(F.col("_e") / F.col("_width"))
+    return at_width.withColumn("_bucket", F.explode(F.sequence(first, F.greatest(first, last)))).drop("_s", "_e", "_level")
+
+
 def episode_stops(episodes_df: DataFrame, stops: DataFrame) -> DataFrame:
     """Episodes and stops of the same line that overlap in time, with the overlap in seconds.
 
     An episode lasts from its first to its last read, both included, so a single
     read is a moment; a stop ends when the next status begins.
 
-    Both sides are listed under each hour they cover and meet on (line, hour). A
-    pair is reported only in the hour in which its overlap begins.
+    Two spans meet in buckets as wide as the longer one. So short spans only meet
+    within seconds, however many there are in an hour, and a long span is listed
+    under few buckets. A pair is reported in the bucket in which its overlap begins.
     """
-
-    def listed(df: DataFrame, start: str, end: str) -> DataFrame:
-        hours = F.sequence(hour_bucket(F.col(start)), F.greatest(hour_bucket(F.col(start)), hour_bucket(F.col(end))))
-        return df.withColumn("_hour", F.explode(hours))
-
-    left = listed(episodes_df.select("ProductionLineId", "t0", "t1", "n"), "t0", "t1")
-    right = listed(stops.select("ProductionLineId", "StartDate", "EndDate", "Type"), "StartDate", "EndDate")
-    pairs = left.join(right, ["ProductionLineId", "_hour"]).where(
-        (F.col("t0") < F.col("EndDate"))
-        & (F.col("StartDate") <= F.col("t1"))
-        & (F.col("_hour") == hour_bucket(F.greatest("t0", "StartDate")))
+    left = _levelled(episodes_df.select("ProductionLineId", "t0", "t1", "n"), "t0", "t1")
+    right = _levelled(stops.select("ProductionLineId", "StartDate", "EndDate", "Type"), "StartDate", "EndDate")
+    widths = F.array(*[F.lit(w) for w in SPAN_WIDTHS])
+    own = F.array("_level")
+    from_own, above_own = (
+        F.filter(widths, lambda w: w >= F.col("_level")),
+        F.filter(widths, lambda w: w > F.col("_level")),
+    )
+    keys = ["ProductionLineId", "_width", "_bucket"]
+    stop_is_longer = _listed(left, from_own).join(_listed(right, own), keys)
+    episode_is_longer = _listed(left, own).join(_listed(right, above_own), keys)
+    begins = F.floor(epoch_second(F.greatest("t0", "StartDate")) / F.col("_width"))
+    pairs = stop_is_longer.unionByName(episode_is_longer).where(
+        (F.col("t0") < F.col("EndDate")) & (F.col("StartDate") <= F.col("t1")) & (F.col("_bucket") == begins)
     )
     overlap = F.least("t1", "EndDate") - F.greatest("t0", "StartDate")
     seconds = F.extract(F.lit("DAY"), overlap) * 86400 + F.extract(F.lit("HOUR"), overlap) * 3600
     seconds = seconds + F.extract(F.lit("MINUTE"), overlap) * 60 + F.extract(F.lit("SECOND"), overlap)
-    return pairs.withColumn("overlap_sec", seconds.cast("double")).drop("_hour")
+    return pairs.withColumn("overlap_sec", seconds.cast("double")).drop("_width", "_bucket")

@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", app: str = "shiftloom", **conf: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SHIFTLOOM_DRIVER_MEMORY", "8g"))
     )
     for key, value in {**JOB_CONF, **conf}.items():
