@@ -92,9 +92,13 @@ class Reports:
         """Shifts of a day, yesterday by default; ``recount`` counts stops from the intervals."""
         wanted = day or str(self.today - timedelta(days=1))
         if recount:
-            return intervals.shift_day(self._star("shift_day", wanted, wanted, shift), self.t.intervals)
+            return self._recounted(wanted, shift)
         return oee.stored(self._star("chat_day", wanted, wanted, shift), by_rank=True)
 
+    def _recounted(self, day: str, shift: str | None) -> DataFrame:
+        execs = self._shifts("shift_day", day, day, shift).rows()
+        return intervals.shift_day(self._star("shift_day", day, day, shift), self.t.intervals, executions=execs)
+
     def shift_range(self, first: str | None = None, last: str | None = None, shift: str | None = None) -> DataFrame:
         """Shifts of a range, the last 7 days up to today by default."""
         begin, end = first or str(self.today - timedelta(days=7)), last or str(self.today)
@@ -154,7 +158,7 @@ class Reports:
         reads = self._reads(wanted, wanted)
         summary = sensors.summary(sensors.critical_reads(reads, self.t.catalog), self.t.catalog)
         reasons = self._reasons("pareto", wanted, wanted, None, 10)
-        shifts = intervals.shift_day(self._star("shift_day", wanted, wanted, None), self.t.intervals)
+        shifts = self._recounted(wanted, None)
         found = sensors.episodes(reads, ["ProductionLineId"])
         return {
             "bundle": day_bundle(summary, reasons, shifts),

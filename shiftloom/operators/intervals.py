@@ -63,10 +63,18 @@ def newest(intervals: DataFrame) -> DataFrame:
 
 
 def newest_per_line(intervals: DataFrame) -> DataFrame:
-    """The newest interval of each line, by aggregation rather than a window over its history."""
+    """The newest interval of each line, by aggregation rather than a window over its history.
+
+    Whole rows are only compared from the time on at which the line that is silent
+    for longest was last heard.
+    """
+    rows, begin = intervals, F.col("IntervalBegin")
+    if not intervals.isStreaming:
+        last = intervals.groupBy("ProductionLineId").agg(F.max(begin).alias("_last"))
+        rows = intervals.where((begin >= last.agg(F.min("_last")).scalar()) | begin.isNull())
     rest = [c for c in intervals.columns if c not in ("ProductionLineId", "IntervalBegin", "CreatedAt", "IntervalSeq")]
     row = F.struct("IntervalBegin", "CreatedAt", "IntervalSeq", *rest)
-    return intervals.groupBy("ProductionLineId").agg(F.max(row).alias("_r")).select("ProductionLineId", "_r.*")
+    return rows.groupBy("ProductionLineId").agg(F.max(row).alias("_r")).select("ProductionLineId", "_r.*")
 
 
 def lookback_minutes(shift: bool) -> Column:
@@ -92,16 +100,20 @@ def _status_rows(intervals: DataFrame) -> DataFrame:
     )
 
 
-def in_spans(intervals: DataFrame, spans: DataFrame) -> DataFrame:
+def in_spans(intervals: DataFrame, spans: DataFrame, reach: DataFrame | None = None) -> DataFrame:
     """Status rows of a line from ``_from`` up to before ``_to``.
 
     Rows meet on (line, calendar day): a span is listed under each day it covers,
     so a line's history is spread over its days and the range test only sees one
-    day's rows.
+    day's rows. ``reach`` holds spans that enclose all others; intervals outside of
+    its first begin and last end are left out before anything is shuffled.
     """
     spans = spans.where(F.col("_to") > F.col("_from"))
     days = F.sequence(F.to_date("_from"), F.to_date("_to"))
     rows = _status_rows(intervals)
+    if reach is not None:
+        ends = reach.agg(F.struct(F.min("_from").alias("a"), F.max("_to").alias("b")).alias("ends")).scalar()
+        rows = rows.where((F.col("IntervalBegin") >= ends["a"]) & (F.col("IntervalBegin") < ends["b"]))
     rows = rows.withColumns(
         {"_day": F.to_date("IntervalBegin"), "_bucket": time_bucket(rows, ["ProductionLineId"], "IntervalBegin")}
     )
@@ -120,7 +132,7 @@ def lookback_counts(intervals: DataFrame, snapshots: DataFrame, shift: bool = Tr
         (begin - interval(lookback_minutes(shift), "minute")).alias("_from"),
         (begin + F.expr("INTERVAL '0.000001' SECOND")).alias("_to"),
     )
-    return count_runs(in_spans(intervals, spans), ["ProductionLineId"])
+    return count_runs(in_spans(intervals, spans, spans), ["ProductionLineId"])
 
 
 def snapshots(
@@ -206,37 +218,43 @@ def day_target_outlook(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def in_execution(intervals: DataFrame, shifts: DataFrame, offset_hours: int = 0) -> DataFrame:
+def in_execution(
+    intervals: DataFrame, shifts: DataFrame, offset_hours: int = 0, executions: DataFrame | None = None
+) -> DataFrame:
     """Intervals within ``[StartDate, EndDate)`` of their line's shifts.
 
     ``offset_hours`` moves the shift clock where it runs ahead of the intervals'
-    local clock. A shift without an end has no intervals.
+    local clock. A shift without an end has no intervals. ``executions`` are the
+    executions of these shifts, if at hand: they tell which time to read.
     """
     ahead = interval(offset_hours, "hour")
-    spans = shifts.select(
-        "WorkShiftExecutionId",
-        "ProductionLineId",
-        (F.col("StartDate") - ahead).alias("_from"),
-        (F.col("EndDate") - ahead).alias("_to"),
-    )
-    return in_spans(intervals, spans)
 
+    def spans(df: DataFrame, *keys: str) -> DataFrame:
+        return df.select(*keys, (F.col("StartDate") - ahead).alias("_from"), (F.col("EndDate") - ahead).alias("_to"))
 
-def with_counts(shifts: DataFrame, intervals: DataFrame, offset_hours: int = 0) -> DataFrame:
+    reach = None if executions is None else spans(executions)
+    return in_spans(intervals, spans(shifts, "WorkShiftExecutionId", "ProductionLineId"), reach)
+
+
+def with_counts(
+    shifts: DataFrame, intervals: DataFrame, offset_hours: int = 0, executions: DataFrame | None = None
+) -> DataFrame:
     """Shifts with the status runs of their line; shifts without intervals count 0."""
     keys = ["WorkShiftExecutionId", "ProductionLineId"]
-    counted = count_runs(in_execution(intervals, shifts, offset_hours), keys)
+    counted = count_runs(in_execution(intervals, shifts, offset_hours, executions), keys)
     zero = F.lit(0).cast("long")
     return shifts.join(counted, keys, "left").withColumns(
         {c: F.coalesce(F.col(c), zero) for c in ("ParosNoProgramadosCont", "ParosProgramadosCont")}
     )
 
 
-def shift_day(star: DataFrame, intervals: DataFrame, offset_hours: int = 0) -> DataFrame:
+def shift_day(
+    star: DataFrame, intervals: DataFrame, offset_hours: int = 0, executions: DataFrame | None = None
+) -> DataFrame:
     """Stored shift KPIs with stop counts recomputed from the intervals."""
     c = F.col
     return (
-        with_counts(star, intervals, offset_hours)
+        with_counts(star, intervals, offset_hours, executions)
         .select(
             "Turno",
             "Fecha",

@@ -122,7 +122,7 @@ FROM plant_summaries s JOIN plant_executions e ON s.exec_id = e.exec_id JOIN exe
 
 @query("oee_shift_day", SHIFT_DAY)
 def oee_shift_day(p: Plant):
-    return ops.shift_day(plant_star(p), p.intervals())
+    return ops.shift_day(plant_star(p), p.intervals(), executions=plant_shifts(p, "shift_day").rows())
 
 
 def stops_today(p: Plant):

@@ -214,7 +214,9 @@ def day_bundle_query(p: Plant):
     wanted = plant_shifts(p, "pareto", BUNDLE_DAY, BUNDLE_DAY)
     reasons = stops.pareto(stops.reason_totals(p.plant_stopages(), p.motives(), p.motive_types(), wanted), 10)
     star = plant_star(p, BUNDLE_DAY, BUNDLE_DAY)
-    return day_bundle(sensors.summary(reads, p.catalog()), reasons, iv.shift_day(star, p.intervals()))
+    execs = plant_shifts(p, "shift_day", BUNDLE_DAY, BUNDLE_DAY).rows()
+    shifts = iv.shift_day(star, p.intervals(), executions=execs)
+    return day_bundle(sensors.summary(reads, p.catalog()), reasons, shifts)
 
 
 @query("src_catalog", "SELECT * FROM sensors")

@@ -98,6 +98,10 @@ def test_execution_counts_against_brute_force(spark, seed):
     out = ops.with_counts(shifts, frame(spark, [interval(*r) for r in rows])).collect()
     got = {(r.WorkShiftExecutionId, r.ProductionLineId): (r.ParosNoProgramadosCont, r.ParosProgramadosCont) for r in out}
     assert got == expected
+    reach = shifts.where("WorkShiftExecutionId > 2")
+    within = ops.with_counts(reach, frame(spark, [interval(*r) for r in rows]), executions=reach).collect()
+    got = {(r.WorkShiftExecutionId, r.ProductionLineId): (r.ParosNoProgramadosCont, r.ParosProgramadosCont) for r in within}
+    assert got == {k: v for k, v in expected.items() if k[0] > 2}
 
 
 def test_clock_offset(spark):
