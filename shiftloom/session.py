@@ -40,10 +40,16 @@ def local_session(cores: int | str = "*", app: str = "shiftloom", **conf: str) -
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is named by the cluster. Only where it is unset, as
-    in tests on one machine, is a local folder made.
+    ``spark.checkpoint.dir`` is named by the cluster. Where it is unset on a single
+    machine, as in tests, a local folder is made; on a cluster that would put each
+    executor's files on its own disk, so it is an error there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
