@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 LEAF = 32_768  # characters of a leaf at most
 WINDOW = 64  # characters on either side of a join at first
-REMEMBERED = 200_000  # pieces that a worker remembers
+REMEMBERED = 150_000  # pieces that a worker remembers, and as many of before
 PIECE = 100  # characters of a remembered piece at most
 
-SPACE = str.maketrans(dict.fromkeys("\t\n\r\x0b\x0c", " "))
+SPACE = "\t\n\r\x0b\x0c"  # and the space itself
 
 
 class Codec:
@@ -42,7 +42,12 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # (tokens, ids, decoded) of pieces: those of late, and those of before
         self.known: dict[str, tuple[int, str, str]] = {"": (0, "", "")}
+        self.before: dict[str, tuple[int, str, str]] = {}
+        # without a decoder, decoding joins the tokens by spaces
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.words = None if self.tokenizer.decoder else [self.tokenizer.id_to_token(i) for i in range(size)]
 
     def tokens(self, text: str, at: int = 0) -> list[tuple[int, int, int]]:
         """(id, start, stop) of each token, counted in characters from ``at``."""
@@ -50,34 +55,40 @@ class Codec:
         return [(i, a + at, b + at) for i, (a, b) in zip(got.ids, got.offsets)]
 
     def decode(self, ids: list[int]) -> str:
+        if self.words:
+            return " ".join([self.words[i] for i in ids])
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
-    def learn(self, pieces: list[str]) -> None:
-        for piece, got in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            ids = got.ids
-            self.known[piece] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+    def entry(self, ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def learn(self, pieces: set[str]) -> None:
+        """See that the pieces are known, as far as they are short."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {"": self.known[""]}, self.known
+        pieces = pieces.difference(self.known)
+        again = pieces.intersection(self.before)
+        self.known.update((p, self.before[p]) for p in again)
+        new = [p for p in pieces.difference(again) if len(p) <= PIECE]
+        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update((p, self.entry(g.ids)) for p, g in zip(new, got))
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(tokens, sha256 of the ids, sha256 of the decoded text) of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known = {"": self.known[""]}
-        split = [text.translate(SPACE).split(" ") for text in texts]
-        new = {p for pieces in split for p in pieces}.difference(self.known)
-        self.learn([p for p in new if len(p) <= PIECE])
+        for space in SPACE:
+            texts = [text.replace(space, " ") for text in texts]
+        split = [text.split(" ") for text in texts]
+        self.learn(set().union(*split))
         return [self._digest(pieces) for pieces in split]
 
     def _digest(self, pieces: list[str]) -> tuple[int, str, str]:
-        known, n, ids, words = self.known, 0, [], []
-        for piece in pieces:
-            got = known.get(piece)
-            if got is None:
-                own = [t[0] for t in self.joined(piece)]
-                got = (len(own), " ".join(map(str, own)), self.decode(own))
-            if got[0]:
-                n += got[0]
-                ids.append(got[1])
-                words.append(got[2])
-        return n, sha(" ".join(ids)), sha(" ".join(words))
+        known = self.known
+        got = [known.get(p) or self.entry([t[0] for t in self.joined(p)]) for p in pieces if p]
+        return (
+            sum([g[0] for g in got]),
+            sha(" ".join([g[1] for g in got if g[0]])),
+            sha(" ".join([g[2] for g in got if g[0]])),
+        )
 
     def joined(self, text: str, leaf: int = LEAF) -> list[tuple[int, int, int]]:
         """Tokens of a text of any length, by halves."""
@@ -207,8 +218,10 @@ def encoded(rows: DataFrame, path: str) -> DataFrame:
     def leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(path)
         for batch in batches:
-            got = [own.tokens(t, int(a)) for t, a in zip(batch["piece"], batch["begin"])]
-            yield batch.assign(tokens=[[x for t in g for x in t] for g in got])
+            for k in range(len(batch)):  # one leaf at a time: its tokens take ten times its room
+                one = batch.iloc[k : k + 1]
+                got = own.tokens(one["piece"].iloc[0], int(one["begin"].iloc[0]))
+                yield one.assign(tokens=[[x for t in got for x in t]])
 
     def tree(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("begin")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftloom.llm import bpe
+from shiftloom.llm import bpe, repeats
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,3 +20,8 @@ def vocabulary(name: str) -> str:
 @query("op8_bpe_encode_decode")
 def bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op3_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removed(table(spark, folder, "documents"), length=400)
