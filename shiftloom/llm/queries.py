@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftloom.llm import bpe, repeats
+from shiftloom.llm import bpe, quality, repeats
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -25,3 +25,9 @@ def bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_suffix_array_dedup")
 def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removed(table(spark, folder, "documents"), length=400)
+
+
+@query("op1_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.scored(docs, quality.fit(docs, table(spark, folder, "labels")))
