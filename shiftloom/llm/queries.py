@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftloom.llm import bpe, quality, repeats
+from shiftloom.llm import bpe, near, quality, repeats
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -31,3 +31,8 @@ def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.scored(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op4_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near(table(spark, folder, "documents"), wide=4, percent=80)
