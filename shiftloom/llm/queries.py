@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftloom.llm import bpe, near, quality, repeats
+from shiftloom.llm import bpe, near, quality, repeats, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -36,3 +36,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near(table(spark, folder, "documents"), wide=4, percent=80)
+
+
+@query("op9_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"), least=0.95)
