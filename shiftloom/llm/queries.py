@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftloom.llm import bpe, near, quality, repeats, vectors
+from shiftloom.llm import bpe, near, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -41,3 +41,8 @@ def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"), least=0.95)
+
+
+@query("op7_sharding")
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.shards(table(spark, folder, "documents"), n=8)
