@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftloom.llm import bpe, near, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, near, pages, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -46,3 +46,8 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_sharding")
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shards(table(spark, folder, "documents"), n=8)
+
+
+@query("op2_html_extraction")
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extracted(table(spark, folder, "pages"))
