@@ -116,8 +116,12 @@ def spans(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _twice(df: DataFrame, *rank: str) -> DataFrame:
-    """Rows whose rank is not unique. Ranks are counted before rows meet."""
-    common = df.groupBy(*rank).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    """Rows whose rank is not unique. Ranks are counted before rows meet.
+
+    The repeated ranks are a table of their own, so that the join deals both its sides
+    out anew and splits a rank that very many rows have.
+    """
+    common = stored(df.groupBy(*rank).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "ranks")
     return df.join(common, list(rank), "left_semi")
 
 
@@ -127,6 +131,7 @@ def _marked(df: DataFrame, *rank: str) -> DataFrame:
     rank that is: others may share a part of its string only."""
     tagged = df.withColumn("tag", F.xxhash64(*df.columns))
     common = tagged.groupBy(*rank).agg(F.count("*").alias("n"), F.min("tag").alias("one")).filter("n > 1").drop("n")
+    common = stored(common, "ranks")
     twice = F.col("one").isNotNull()
     return (
         tagged.join(common, list(rank), "left")
