@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftloom.llm import bpe, near, pages, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, mixing, near, pages, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -51,3 +52,20 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_html_extraction")
 def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extracted(table(spark, folder, "pages"))
+
+
+#: Shares of the tokens that each domain shall have in the mix, and the mix's size.
+TARGETS = {"plain": 0.88, "toxic": 0.1, "low": 0.02}
+SIZE = 1.5
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """The labelled table: doc_id and domain."""
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low")
+    return labels.select("doc_id", kind.when(F.col("quality") == 1, "plain").alias("domain"))
+
+
+@query("op10_soft_membership_mixing")
+def soft_membership_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mixing.mixed(docs, domains(table(spark, folder, "labels")), TARGETS, SIZE)
