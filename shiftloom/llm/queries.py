@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import bpe, mixing, near, pages, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, mixing, near, pages, pieces, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -69,3 +69,8 @@ def domains(labels: DataFrame) -> DataFrame:
 def soft_membership_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return mixing.mixed(docs, domains(table(spark, folder, "labels")), TARGETS, SIZE)
+
+
+@query("op5_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.counted(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
