@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftloom.llm.components import components
@@ -121,6 +122,34 @@ def near(
     are documents of their own. A row whose id is null links with nothing, has no
     component_id and is kept. Other columns are left out.
     """
+    return placed(docs, wide, percent, id_col, text_col).drop("hash").withColumnRenamed("id", id_col)
+
+
+def representatives(
+    docs: DataFrame, wide: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest id.
+
+    Of rows with that id the one with the smallest hash of its text stays, and of equal
+    ones the first by their other columns. Rows with a null id stay.
+    """
+    found = placed(docs, wide, percent, id_col, text_col).filter("component_id is not null")
+    stays = found.groupBy("component_id").agg(F.min(F.struct("id", "hash")).alias("s")).select("s.id", "s.hash")
+    own = [f"own_{k}" for k in range(len(docs.columns))]
+    rows = docs.select(
+        F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("hash"),
+        *(F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)),
+    )
+    other = [F.col(o) for c, o in zip(docs.columns, own) if c not in (id_col, text_col)]
+    first = F.row_number().over(W.partitionBy("id", "hash").orderBy(*other or [F.col("id")]))
+    kept = rows.join(stays, ["id", "hash"], "left_semi").withColumn("number", first).filter("number = 1")
+    kept = kept.select(*own).union(rows.filter("id is null").select(*own))
+    return kept.select(*(F.col(o).alias(c) for c, o in zip(docs.columns, own)))
+
+
+def placed(docs: DataFrame, wide: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """id, hash of the text, n_shingles, component_id and kept of each row."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = stored(signatures(rows, wide), "signatures")
@@ -139,10 +168,11 @@ def near(
     named = least.join(named, "node", "left").select(
         F.col("node").alias("set"), F.coalesce("component_id", "least").alias("component_id")
     )
-    out = signed.select("id", "n_shingles", "set").join(named, "set", "left")
+    out = signed.select("id", "hash", "n_shingles", "set").join(stored(named, "named"), "set", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(
-        F.col("id").alias(id_col),
+        "id",
+        "hash",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),

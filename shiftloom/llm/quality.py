@@ -225,6 +225,21 @@ def scored(
     return out.withColumnRenamed("id", id_col)
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The documents whose score reaches the threshold, with all their columns."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [
+                model.scores(*indicators(offsets, data), stop - row) >= threshold
+                for row, stop, offsets, data in slices(batch.column(text_col))
+            ]
+            if parts:
+                yield batch.filter(pa.array(np.concatenate(parts)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def accuracy(result: pd.DataFrame, labels: pd.DataFrame) -> dict[str, float]:
     """Held-out figures: share right, and the rank statistic of the scores (AUC)."""
     both = result[result.held_out].merge(labels, on="doc_id")
