@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import bpe, mixing, near, pages, pieces, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, mixing, near, neighbours, pages, pieces, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -74,3 +74,8 @@ def soft_membership_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_token_counts")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.counted(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op6_approximate_nearest_neighbours")
+def approximate_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), every=100, k=10)
