@@ -127,9 +127,10 @@ def fit(
                 arrays = [part.column("label"), part.column("id").cast(pa.string()), pa.array(lists, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["label", "id", "features"])
 
-    got = rows.mapInArrow(featured, "label int, id string, features array<int>").toPandas()
-    got = got.sort_values("id", kind="stable").reset_index(drop=True)
-    return train(list(got["features"]), got["label"].to_numpy())
+    got = rows.mapInArrow(featured, "label int, id string, features array<int>").toArrow().sort_by("id")
+    lists = got.column("features").combine_chunks()
+    features = np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py())
+    return train(features[: len(got)], got.column("label").to_numpy())
 
 
 def train(features: list[np.ndarray], labels: np.ndarray) -> Model:
@@ -143,33 +144,34 @@ def train(features: list[np.ndarray], labels: np.ndarray) -> Model:
         turn[:] = False
     rows = [f for f, t in zip(features, turn) if not t]
     y = np.where(labels[~turn] == 1, 1.0, -1.0)
-    counts = [
-        1 + np.bincount(np.concatenate([f for f, v in zip(rows, y) if v == sign]), minlength=size) for sign in (1, -1)
-    ]
+    counts = np.ones((2, size))
+    for f, v in zip(rows, y):  # a text has an indicator once
+        counts[int(v < 0), f] += 1
     scale = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
     scale[counts[0] + counts[1] < 4] = 0.0  # seen in fewer than two texts
-    weights, bias = descend([(f, scale[f]) for f in rows], y)
+    weights, bias = descend(rows, scale, y)
     model = Model(weights, scale, bias, 1.0, 0.0)
     check = [f for f, t in zip(features, turn) if t] if turn.any() else rows
     truth = labels[turn] if turn.any() else labels
-    text = np.repeat(np.arange(len(check)), [len(f) for f in check])
-    raw = model.scores(text, np.concatenate(check).astype(np.int64), len(check))
+    raw = np.array([model.scores(np.zeros(len(f), np.int64), f, 1)[0] for f in check])
     model.slope, model.shift = line(np.log(raw) - np.log1p(-raw), truth)
     return model
 
 
-def descend(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, rounds: int = 12):
+def descend(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 12):
     """Weights and bias of the squared-hinge model, by dual coordinate descent.
 
-    Rows have unit length. The rarer class costs more, as much as makes both weigh alike.
+    Rows are scaled indicators of unit length. The rarer class costs more, as much as
+    makes both weigh alike.
     """
     weights, bias, dual = np.zeros(1 << BITS), 0.0, np.zeros(len(rows))
-    unit = [(f, v / max(float(np.sqrt((v * v).sum())), 1e-12)) for f, v in rows]
+    length = np.array([max(float(np.sqrt((scale[f] ** 2).sum())), 1e-12) for f in rows])
     each = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum())) * cost
     random = np.random.default_rng(0)
     for _ in range(rounds):
         for i in random.permutation(len(rows)):
-            f, v = unit[i]
+            f = rows[i]
+            v = scale[f] / length[i]
             soft = 1 / (2 * each[i])
             slope = y[i] * (weights[f] @ v + bias) - 1 + dual[i] * soft
             step = max(dual[i] - slope / (2 + soft), 0.0) - dual[i]
