@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shiftloom.llm.scratch import stored
@@ -13,46 +13,35 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every neighbour above a node is linked to
     the smallest neighbour, then every neighbour below it. Minima are taken before rows
-    meet, and each round's links are a table in the shared folder. Links of a node to
-    itself say only that the node is there.
+    meet, and each round's links are a table in the shared folder. A node that is linked
+    only with itself is its own component and has no row.
     """
-    both = edges.select("a", "b")
-    nodes = both.select(F.col("a").alias("node")).union(both.select(F.col("b").alias("node"))).distinct()
-    nodes = stored(nodes, "nodes")
-    links = stored(_down(both.filter("a != b")), "links")
+    links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")
+    links = stored(links.distinct(), "links")
     state = None
     while True:
-        links = stored(_small(_large(links)), "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        seen = Observation()
+        after = _small(_large(links)).observe(
+            seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
+        )
+        links = stored(after, "links")
+        if seen.get == state:
             break
-        state = now
+        state = seen.get
     found = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-
-
-def _down(links: DataFrame) -> DataFrame:
-    """Each link once, from the larger node a to the smaller b."""
-    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return found.union(found.select("component", "component").distinct())
 
 
 def _large(links: DataFrame) -> DataFrame:
-    """Link the neighbours above a node to the smallest of it and its neighbours."""
+    """Link the neighbours above a node, and the node, to the smallest neighbour or the node itself."""
     least = links.groupBy("a").agg(F.min("b").alias("m"))
-    up = links.select(F.col("a").alias("v"), F.col("b").alias("a"))
-    # for a node with no smaller neighbour the node itself is the smallest
-    return up.join(least, "a", "left").select(F.col("v").alias("a"), F.coalesce("m", "a").alias("b")).union(
-        least.select("a", F.col("m").alias("b"))
-    ).distinct()
+    up = links.select(F.col("a").alias("v"), F.col("b").alias("a")).join(least, "a", "left")
+    moved = up.select(F.col("v").alias("a"), F.coalesce("m", "a").alias("b"))
+    return moved.union(least.select("a", F.col("m").alias("b")))
 
 
 def _small(links: DataFrame) -> DataFrame:
     """Link the neighbours below a node, and the node, to the smallest of them."""
     least = links.groupBy("a").agg(F.min("b").alias("m"))
-    return (
-        links.join(least, "a")
-        .filter("b != m")
-        .select(F.col("b").alias("a"), F.col("m").alias("b"))
-        .union(least.select("a", F.col("m").alias("b")))
-        .distinct()
-    )
+    below = links.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return below.union(least.select("a", F.col("m").alias("b"))).distinct()

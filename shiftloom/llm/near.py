@@ -34,6 +34,8 @@ BANDS, ROWS = 40, 6  # a pair at similarity 0.8 shares no band once in 190,000
 WORDS = 16  # 64-bit words of an odd sketch
 MARGIN = 0.15  # five standard errors of a sketch's estimate at 0.8
 
+PIVOTS = 3  # others that a class is compared with first
+
 FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) << np.uint64(8)) | np.uint64(1)
 
 
@@ -180,44 +182,55 @@ def placed(docs: DataFrame, wide: int, percent: int, id_col: str, text_col: str)
 
 
 def linked_classes(classes: DataFrame, rows: DataFrame, wide: int, percent: int) -> DataFrame:
-    """node and component of the classes that share a key with another."""
+    """node and component of the classes that have links."""
     keys = classes.select("node", F.explode("bands").alias("key"))
     common = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    buckets = stored(keys.join(common, "key", "left_semi"), "buckets")
+    buckets = stored(keys.join(stored(common, "keys"), "key", "left_semi"), "buckets")
 
-    met = buckets.select("node").distinct()
-    drawn = stored(classes.drop("bands").join(met, "node", "left_semi"), "drawn")
-    ones = drawn.select("node", F.col("one.id").alias("id"), F.col("one.hash").alias("hash"))
+    ones = classes.select("node", F.col("one.id").alias("id"), F.col("one.hash").alias("hash"), "size", "sketch")
+    ones = ones.join(buckets.select("node").distinct(), "node", "left_semi")
     # rows with equal id and text are equal, so any of them will do
-    texts = stored(rows.join(ones, ["id", "hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = stored(rows.join(ones, ["id", "hash"]).dropDuplicates(["id", "hash"]).drop("id", "hash"), "texts")
 
-    # each class with the pivot that its sketch is nearest to
+    # each class with the pivots that it shares the most buckets with
     pivots = buckets.groupBy("key").agg(F.min("node").alias("b"))
-    pairs = buckets.join(pivots, "key").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
-    best = estimated(pairs, drawn, percent).groupBy("a").agg(F.max_by("b", "estimate").alias("b"))
-    links = stored(confirmed(best, texts, wide, percent), "confirmed")
-    found = components(links)
+    pairs = _most_shared(buckets.join(pivots, "key").select(F.col("node").alias("a"), "b"), PIVOTS)
+    links = stored(confirmed(pairs, texts, wide, percent), "confirmed")
+    found = stored(components(links), "components")
 
-    # where a bucket holds several components: the others with the pivot of the first one
+    # where a bucket holds several components: the others with the pivots of the first one
     split = _split(buckets, found)
     first = split.groupBy("key").agg(F.min(F.struct("component", "node")).alias("first"))
-    more = split.join(first, "key").filter("component != first.component")
-    more = more.select(F.col("node").alias("a"), F.col("first.node").alias("b")).distinct()
-    more = confirmed(estimated(more, drawn, percent), texts, wide, percent)
-    links = stored(links.union(more), "confirmed")
-
-    # what is left: pairs across components
-    split = _split(buckets, components(links)).join(drawn.select("node", "size", "sketch"), "node")
+    others = split.join(first, "key").filter("component != first.component")
+    pairs = _most_shared(others.select(F.col("node").alias("a"), F.col("first.node").alias("b")), 3 * PIVOTS)
+    more = stored(confirmed(pairs, texts, wide, percent), "confirmed")
+    if not more.isEmpty():
+        links = links.union(more)
+        found = stored(components(links), "components")
+        split = _split(split.select("key", "node"), found)
+
+    # what is left: all pairs across the components of a bucket
+    split = split.join(texts.select("node", "size", "sketch"), "node").join(classes.select("node", "bands"), "node")
     a, b = split.alias("a"), split.alias("b")
+    first_key = F.array_min(F.array_intersect(F.col("a.bands"), F.col("b.bands")))
     across = a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.component") < F.col("b.component"))
-        & likely(F.col("a.size"), F.col("b.size"), F.col("a.sketch"), F.col("b.sketch"), percent),
+        & likely(F.col("a.size"), F.col("b.size"), F.col("a.sketch"), F.col("b.sketch"), percent)
+        & (F.col("a.key") == first_key),  # in one of their buckets only
     )
-    across = across.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    more = confirmed(across, texts, wide, percent)
-    return components(stored(links.union(more), "confirmed"))
+    pairs = across.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    more = stored(confirmed(pairs, texts, wide, percent), "confirmed")
+    return found if more.isEmpty() else stored(components(links.union(more)), "components")
+
+
+def _most_shared(pairs: DataFrame, most: int) -> DataFrame:
+    """For each class the ``most`` others that it shares the most buckets with. What this
+    leaves out is met by the later rounds."""
+    counted = pairs.filter("a != b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(W.partitionBy("a").orderBy(F.desc("n"), "b"))
+    return counted.withColumn("rank", rank).filter(F.col("rank") <= most).select("a", "b")
 
 
 def _split(buckets: DataFrame, found: DataFrame) -> DataFrame:
@@ -225,7 +238,7 @@ def _split(buckets: DataFrame, found: DataFrame) -> DataFrame:
     at = buckets.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     at = stored(at, "placed")
     several = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    return stored(at.join(several.select("key"), "key", "left_semi"), "split")
+    return stored(at.join(stored(several.select("key"), "keys"), "key", "left_semi"), "split")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -242,20 +255,15 @@ def likely(size_a: Column, size_b: Column, a: Column, b: Column, percent: int) -
     return sizes & (estimate(a, b) >= percent / 100 - MARGIN)
 
 
-def estimated(pairs: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that may reach the threshold, with their estimate."""
-    a = drawn.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("sketch_a"))
-    b = drawn.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.join(a, "a").join(b, "b")
-    both = both.filter(likely(*(F.col(c) for c in ("size_a", "size_b", "sketch_a", "sketch_b")), percent))
-    return both.select("a", "b", estimate(F.col("sketch_a"), F.col("sketch_b")).alias("estimate"))
+def confirmed(pairs: DataFrame, texts: DataFrame, wide: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold. Pairs that their sketches rule out end before."""
 
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("size", "sketch", "text")))
 
-def confirmed(pairs: DataFrame, texts: DataFrame, wide: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    both = both.filter(likely(*(F.col(c) for c in ("size_a", "size_b", "sketch_a", "sketch_b")), percent))
+    both = both.select("a", "b", "text_a", "text_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

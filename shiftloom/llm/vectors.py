@@ -98,6 +98,7 @@ def near_vectors(
     ids = classes.select("key", "least", "rows")
     counts = found.groupBy("key").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")
+    parts = stored(parts, "components")
     smallest = parts.join(ids, "key").groupBy("component").agg(F.min("least").alias("component_id"))
     named = parts.join(smallest, "component").select("key", "component_id")
     known = ids.join(counts, "key", "left").join(named, "key", "left").select(
