@@ -18,7 +18,7 @@ from shiftloom.operators import charts, intervals, oee, sensors, stops
 from shiftloom.operators.bundle import day_bundle
 from shiftloom.operators.business import RECIPES, Shifts, shift_star
 from shiftloom.schemas import conform
-from shiftloom.sources.reads import MAX_CHART_DAYS, days_between
+from shiftloom.sources.reads import days_between
 
 
 @dataclass(frozen=True)
@@ -62,10 +62,12 @@ class Reports:
     def _star(self, recipe: str, first: str, last: str, shift: str | None) -> DataFrame:
         return shift_star(self.t.summaries, self._shifts(recipe, first, last, shift))
 
-    def _reasons(self, recipe: str, first: str, last: str, shift: str | None, top: int, stop_class: str | None = None) -> DataFrame:
+    def _totals(self, recipe: str, first: str, last: str, shift: str | None, stop_class: str | None = None) -> DataFrame:
         shifts = self._shifts(recipe, first, last, shift)
-        totals = stops.reason_totals(self.t.stopages, self.t.motives, self.t.motive_types, shifts, stop_class)
-        return stops.pareto(totals, top)
+        return stops.reason_totals(self.t.stopages, self.t.motives, self.t.motive_types, shifts, stop_class)
+
+    def _reasons(self, recipe: str, first: str, last: str, shift: str | None, top: int, stop_class: str | None = None) -> DataFrame:
+        return stops.pareto(self._totals(recipe, first, last, shift, stop_class), top)
 
     def _reads(self, first: str, last: str) -> DataFrame:
         return self.t.reads.where(F.col("Day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
@@ -79,8 +81,9 @@ class Reports:
     def realtime(self, line_pattern: str | None = None) -> dict[str, DataFrame]:
         """Snapshot with today's stop totals, its metrics and plan outlook, and today's top 10 reasons."""
         snap = self.snapshot(line_pattern)
-        reasons = self._reasons("pareto_day_off", str(self.today), str(self.today), None, 10)
-        synced = intervals.synced(snap, stops.class_totals(reasons), self.lang)
+        totals = self._totals("pareto_day_off", str(self.today), str(self.today), None)
+        reasons = stops.pareto(totals, 10)
+        synced = intervals.synced(snap, stops.class_totals(stops.reasons(totals)), self.lang)
         return {
             "snapshot": synced,
             "metrics": intervals.snapshot_metrics(synced),
@@ -159,27 +162,45 @@ class Reports:
         summary = sensors.summary(sensors.critical_reads(reads, self.t.catalog), self.t.catalog)
         reasons = self._reasons("pareto", wanted, wanted, None, 10)
         shifts = self._recounted(wanted, None)
-        found = sensors.episodes(reads, ["ProductionLineId"])
+        found = sensors.episodes(reads)
         return {
             "bundle": day_bundle(summary, reasons, shifts),
-            "overlap": sensors.episode_stops(found, intervals.status_stops(self.t.intervals)),
+            "overlap": sensors.episode_stops(found, self._stops_of(wanted)),
         }
 
+    def _stops_of(self, day: str) -> DataFrame:
+        """Stops that may overlap a plant day, which ends the next morning.
+
+        Only intervals of these days are read, with each line's last one before them and
+        its first one after them, so that a stop has its true beginning and end.
+        """
+        begin, rows = F.col("IntervalBegin"), self.t.intervals
+        first, last = F.lit(day).cast("date"), F.date_add(F.lit(day).cast("date"), 2)
+        line = rows.groupBy("ProductionLineId")
+        ends = line.agg(
+            F.coalesce(F.max(F.when(begin < first, begin)), F.min(begin)).alias("_a"),
+            F.coalesce(F.min(F.when(begin >= last, begin)), F.max(begin)).alias("_b"),
+        )
+        near = rows.join(ends, "ProductionLineId").where(begin.between(F.col("_a"), F.col("_b"))).drop("_a", "_b")
+        return intervals.status_stops(near)
+
     def list_control_variables(self) -> DataFrame:
         return cat.all_sensors(self.t.catalog)
 
-    def variable(self, query: str, first: str, last: str | None = None) -> dict[str, DataFrame]:
-        """Series of one sensor, found by id or words, over at most 14 days.
+    def variable(
+        self, query: str, first: str, last: str | None = None, most_days: int | None = None
+    ) -> dict[str, DataFrame]:
+        """Series of one sensor, found by id or words; a range over ``most_days`` is an error, if given.
 
         The one catalog row is fetched first, so that its id reaches the scan.
         """
         begin, end = self._day(first), self._day(last or first)
-        days_between(begin, end, MAX_CHART_DAYS)
+        days_between(begin, end, most_days)
         found = cat.find_sensor(self.t.catalog, query)
         row = found.first()
         if row is None:
             raise LookupError(f"no sensor for {query!r}")
-        reads = self._reads(begin, end).where(F.upper("ProductionLineControlVariableId") == row["var_id"])
+        reads = sensors.of_sensor(self._reads(begin, end), row["var_id"])
         banded = sensors.against_catalog_band(reads, found.select("var_id", "min_val", "max_val"))
         return {
             "sensor": found,

@@ -44,12 +44,13 @@ def round_py(col: Column, places: int) -> Column:
 
 
 def total(col: Column | str) -> Column:
-    """Sum of doubles without the digits that depend on the order of addition.
+    """Sum of doubles that does not depend on the order of addition.
 
-    Partial sums arrive in any order, and a task may run again elsewhere; rounding
-    at 1e-4 keeps later ratios and roundings the same from run to run.
+    Partial sums arrive in any order, and a task may run again elsewhere. Each value is
+    added as a decimal of ten places, exactly; what is no finite number does not count.
     """
-    return round_py(F.sum(col), 4)
+    value = F.col(col) if isinstance(col, str) else col
+    return F.sum(value.try_cast("decimal(38,10)")).cast("double")
 
 
 def fixed(col: Column, places: int, suffix: str = "") -> Column:

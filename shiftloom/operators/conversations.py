@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftloom.functions import texts
 from shiftloom.functions.times import interval
-from shiftloom.operators.ordered import row_numbers
 
 
 def message_order(messages: DataFrame) -> DataFrame:
-    """Position of each message in its conversation, by creation time."""
-    return row_numbers(messages, ["thread_id"], "created_at", "turn", "position")
+    """Position of each message in its conversation, by creation time.
+
+    A conversation is a handful of rows. Messages without a time come first; those
+    without a conversation are one of their own.
+    """
+    order = Window.partitionBy("thread_id").orderBy("created_at", "turn")
+    return messages.withColumn("position", F.row_number().over(order).cast("long"))
 
 
 def titles(messages: DataFrame) -> DataFrame:
@@ -58,12 +62,15 @@ def retention(threads: DataFrame, messages: DataFrame, now: Column, days: int =
 
 
 def new_threads(existing: DataFrame, messages: DataFrame, user_name: Column) -> DataFrame:
-    """Conversations to insert: those of the new messages that are not stored yet."""
+    """Conversations to insert: those of the new messages that are not stored yet.
+
+    A conversation without a user message has an empty title.
+    """
     begun = messages.groupBy("thread_id").agg(F.min("created_at").alias("created_at"))
     return (
         begun.join(existing.select("thread_id"), "thread_id", "left_anti")
-        .join(titles(messages), "thread_id")
-        .select("thread_id", user_name.alias("user_name"), "title", "created_at", F.lit(True).alias("active"))
+        .join(titles(messages), "thread_id", "left")
+        .select("thread_id", user_name.alias("user_name"), F.coalesce("title", F.lit("")).alias("title"), "created_at", F.lit(True).alias("active"))
     )
 
 

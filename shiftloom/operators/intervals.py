@@ -115,7 +115,7 @@ def in_spans(intervals: DataFrame, spans: DataFrame, reach: DataFrame | None = N
         ends = reach.agg(F.struct(F.min("_from").alias("a"), F.max("_to").alias("b")).alias("ends")).scalar()
         rows = rows.where((F.col("IntervalBegin") >= ends["a"]) & (F.col("IntervalBegin") < ends["b"]))
     rows = rows.withColumns(
-        {"_day": F.to_date("IntervalBegin"), "_bucket": time_bucket(rows, ["ProductionLineId"], "IntervalBegin")}
+        {"_day": F.to_date("IntervalBegin"), "_bucket": time_bucket("IntervalBegin")}
     )
     return (
         rows.join(spans.withColumn("_day", F.explode(days)), ["ProductionLineId", "_day"])

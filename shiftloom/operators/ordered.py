@@ -3,8 +3,9 @@
 One line or sensor may hold a large share of all rows, so a window over its whole
 history would put that share into one task. Here the window runs per (series, time
 bucket), and only what lies at the edges of the buckets, of which there are as many
-as the calendar has, is looked at per series. A bucket is an hour; where an hour of
-some series holds very many rows it is a minute or a second.
+as the calendar has, is looked at per series. A bucket is ``WIDTH`` seconds, one
+minute; an operation takes another width as an argument, and no pass over the data
+chooses it.
 """
 
 from __future__ import annotations
@@ -14,33 +15,22 @@ from pyspark.sql import functions as F
 
 from shiftloom.functions.times import epoch_second
 
-# Rows of one series in one bucket above which buckets are made finer.
-BUCKET_ROWS = 1_000_000
+# Seconds of a bucket.
+WIDTH = 60
 
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
-def hour_bucket(ts: Column) -> Column:
-    """Calendar hour as an integer, from the clock reading itself."""
-    return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
-
-
-def time_bucket(df: DataFrame, by: list[str], time: str, rows: int = BUCKET_ROWS) -> Column:
-    """Bucket number of ``time``, of a width that fits the fullest (series, hour) of ``df``.
-
-    The width is a scalar subquery: a count per series and hour, run with the query.
-    """
-    counts = df.groupBy(*by, hour_bucket(F.col(time)).alias("_hour")).agg(F.count("*").alias("_n"))
-    most = F.max("_n")
-    width = counts.agg(F.when(most > 60 * rows, 1).when(most > rows, 60).otherwise(3600).alias("width")).scalar()
+def time_bucket(time: str, width: int = WIDTH) -> Column:
+    """Bucket number of ``time``; null for a null time."""
     return F.floor(epoch_second(F.col(time)) / width)
 
 
 def next_value(
-    df: DataFrame, by: list[str], time: str, tie: str, column: str, out: str, rows: int = BUCKET_ROWS
+    df: DataFrame, by: list[str], time: str, tie: str, column: str, out: str, width: int = WIDTH
 ) -> DataFrame:
     """``column`` of the next row of the same series, null on the last row of the series."""
-    chunked = df.withColumn("_bucket", time_bucket(df, by, time, rows))
+    chunked = df.withColumn("_bucket", time_bucket(time, width))
     chunk = Window.partitionBy(*by, "_bucket").orderBy(time, tie)
     marked = chunked.withColumns(
         {
@@ -56,21 +46,26 @@ def next_value(
     return inner.unionByName(last).drop("_bucket", "_first", "_last")
 
 
-def row_numbers(df: DataFrame, by: list[str], time: str, tie: str, out: str, rows: int = BUCKET_ROWS) -> DataFrame:
+def row_numbers(df: DataFrame, by: list[str], time: str, tie: str, out: str, width: int = WIDTH) -> DataFrame:
     """Position of each row in its series, from 1."""
-    chunked = df.withColumn("_bucket", time_bucket(df, by, time, rows))
+    chunked = df.withColumn("_bucket", time_bucket(time, width))
     return positions(chunked, by, "_bucket", [F.col(time), F.col(tie)], out).drop("_bucket")
 
 
 def positions(df: DataFrame, by: list[str], bucket: str, order: list[Column], out: str) -> DataFrame:
-    """Position in ``by`` from 1, by bucket and then by ``order``; buckets must not cross in that order."""
+    """Position in ``by`` from 1, by bucket and then by ``order``; buckets must not cross in that order.
+
+    Rows of a null series are a series, and those of a null bucket come first.
+    """
     counts = df.groupBy(*by, bucket).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     numbered = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by, bucket).orderBy(*order)))
+    keys = [*by, bucket]
+    same = [F.col(f"_r.`{k}`").eqNullSafe(F.col(f"_o.`{k}`")) for k in keys]
+    met = numbered.alias("_r").join(offsets.alias("_o"), same).select("_r.*", "_o._before")
     return (
-        numbered.join(offsets, [*by, bucket])
-        .withColumn(out, (F.col("_before") + F.col("_rn")).cast("long"))
+        met.withColumn(out, (F.col("_before") + F.col("_rn")).cast("long"))
         .drop("_rn", "_before")
     )
 
@@ -106,7 +101,7 @@ def begun_runs(
     )
 
 
-def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str, rows: int = BUCKET_ROWS) -> DataFrame:
+def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str, width: int = WIDTH) -> DataFrame:
     """Unbroken runs of rows whose boolean ``state`` is true: first time, last time, rows.
 
     Runs are built per bucket. Those that touch the edge of a bucket are then chained
@@ -118,7 +113,7 @@ def runs(df: DataFrame, by: list[str], time: str, tie: str, state: str, rows: in
         F.col(time).alias("_t"),
         F.col(tie).alias("_tie"),
         F.col(state).alias("_state"),
-        time_bucket(df, by, time, rows).alias("_bucket"),
+        time_bucket(time, width).alias("_bucket"),
     )
     chunk = Window.partitionBy(*by, "_bucket").orderBy("_t", "_tie")
     marked = chunked.withColumns(

@@ -9,6 +9,7 @@ from shiftloom.functions.numbers import divide_or_null, fixed, round_py
 from shiftloom.functions.times import epoch_second
 from shiftloom.operators.catalog import critical_ids, with_names
 from shiftloom.operators.ordered import runs
+from shiftloom.sources.reads import sensor_key
 
 
 def out_of(value: Column, low: Column, high: Column) -> Column:
@@ -37,9 +38,17 @@ def critical_reads(reads: DataFrame, catalog: DataFrame) -> DataFrame:
     return kept.join(ids, kept["ProductionLineControlVariableId"] == ids["var_id"], "left_semi")
 
 
+def of_sensor(reads: DataFrame, var_id: str) -> DataFrame:
+    """Reads of one sensor. On written reads the filter reaches the scan."""
+    wanted = var_id.strip().upper()
+    if "SensorKey" in reads.columns:
+        return reads.where(F.col("SensorKey") == wanted)
+    return reads.where(sensor_key(F.col("ProductionLineControlVariableId")) == wanted)
+
+
 def variable_reads(reads: DataFrame, var_id: str) -> DataFrame:
     """Time and value of one sensor, critical or not."""
-    return reads.where(F.upper("ProductionLineControlVariableId") == var_id.strip().upper()).select(
+    return of_sensor(reads, var_id).select(
         F.col("LocalTime").cast("string").alias("LocalTime"), F.col("Value").cast("double").alias("Value")
     )
 
@@ -214,8 +223,12 @@ def deviation_text() -> Column:
     )
 
 
-def episodes(reads: DataFrame, by: list[str]) -> DataFrame:
-    """Runs of consecutive out-of-range reads of each series: first read, last read, reads."""
+SERIES = ["ProductionLineId", "ProductionLineControlVariableId"]
+
+
+def episodes(reads: DataFrame) -> DataFrame:
+    """Runs of consecutive out-of-range reads of each line's sensors: first read, last read, reads."""
+    by = SERIES
     flagged = reads.select(*by, "LocalTime", "ReadSeq", is_out_row().alias("is_out"))
     return runs(flagged, by, "LocalTime", "ReadSeq", "is_out")
 
@@ -242,7 +255,7 @@ def _listed(spans: DataFrame, widths: Column) -> DataFrame:
 
 
 def episode_stops(episodes_df: DataFrame, stops: DataFrame) -> DataFrame:
-    """Episodes and stops of the same line that overlap in time, with the overlap in seconds.
+    """Episodes and stops of the same line that overlap in time, with the sensor and the overlap in seconds.
 
     An episode lasts from its first to its last read, both included, so a single
     read is a moment; a stop ends when the next status begins.
@@ -251,7 +264,7 @@ def episode_stops(episodes_df: DataFrame, stops: DataFrame) -> DataFrame:
     within seconds, however many there are in an hour, and a long span is listed
     under few buckets. A pair is reported in the bucket in which its overlap begins.
     """
-    left = _levelled(episodes_df.select("ProductionLineId", "t0", "t1", "n"), "t0", "t1")
+    left = _levelled(episodes_df.select(*SERIES, "t0", "t1", "n"), "t0", "t1")
     right = _levelled(stops.select("ProductionLineId", "StartDate", "EndDate", "Type"), "StartDate", "EndDate")
     widths = F.array(*[F.lit(w) for w in SPAN_WIDTHS])
     own = F.array("_level")

@@ -55,28 +55,30 @@ def reason_totals(
     )
 
 
-def pareto(totals: DataFrame, top: int) -> DataFrame:
-    """TOP ``top`` reasons by minutes. Groups stay apart even where their labels agree."""
-    return (
-        totals.orderBy(
-            F.desc_nulls_last("seconds"),
-            F.asc_nulls_first("TypeName"),
-            F.asc_nulls_first("MotiveName"),
-            F.asc_nulls_first("StoppageType"),
-            F.asc_nulls_first("Type"),
-        )
-        .limit(top)
-        .select(
-            F.coalesce("TypeName", F.lit(UNCLASSIFIED)).alias("Tipo_General"),
-            F.coalesce("MotiveName", F.lit(UNCLASSIFIED)).alias("Motivo_Particular"),
-            F.coalesce("StoppageType", "Type").alias("Clasificacion"),
-            (F.col("seconds") / 60.0).alias("Duracion_Min"),
-            F.col("events").alias("Eventos"),
-            (int_avg(F.col("seconds"), F.col("timed")) / 60.0).alias("Duracion_Promedio_Min"),
-        )
+def reasons(totals: DataFrame) -> DataFrame:
+    """All reasons in report columns. Groups stay apart even where their labels agree."""
+    return totals.select(
+        F.coalesce("TypeName", F.lit(UNCLASSIFIED)).alias("Tipo_General"),
+        F.coalesce("MotiveName", F.lit(UNCLASSIFIED)).alias("Motivo_Particular"),
+        F.coalesce("StoppageType", "Type").alias("Clasificacion"),
+        (F.col("seconds") / 60.0).alias("Duracion_Min"),
+        F.col("events").alias("Eventos"),
+        (int_avg(F.col("seconds"), F.col("timed")) / 60.0).alias("Duracion_Promedio_Min"),
     )
 
 
+def pareto(totals: DataFrame, top: int) -> DataFrame:
+    """TOP ``top`` reasons by minutes."""
+    listed = totals.orderBy(
+        F.desc_nulls_last("seconds"),
+        F.asc_nulls_first("TypeName"),
+        F.asc_nulls_first("MotiveName"),
+        F.asc_nulls_first("StoppageType"),
+        F.asc_nulls_first("Type"),
+    ).limit(top)
+    return reasons(listed)
+
+
 def _report_order() -> list[Column]:
     """Order of reason rows. Windows over it run on the few rows of a TOP n."""
     return [
@@ -133,7 +135,7 @@ def np_chart(reasons: DataFrame, top: int = 15, label_length: int = 45) -> DataF
 
 
 def class_totals(reasons: DataFrame) -> DataFrame:
-    """Events and minutes of the listed reasons, unscheduled and scheduled."""
+    """Events and minutes of the reasons given, unscheduled and scheduled: of all, or of a TOP n."""
 
     def total(cls: str, column: str, zero: Column) -> Column:
         return F.coalesce(F.sum(F.when(F.col("Clasificacion") == cls, F.col(column))), zero)

@@ -106,7 +106,7 @@ def plot_link_extract(p: Plant):
 
 @query(
     "speech_text",
-    """SELECT doc_id, trim(regexp_replace(regexp_replace(CASE WHEN length(text) > 4000 THEN left(text, 4000) || '...' ELSE text END,
+    """SELECT doc_id, trim(regexp_replace(regexp_replace(text,
       '[*_`#>|\\[\\]()!]', '', 'g'), '\\s+', ' ', 'g')) AS spoken FROM documents""",
 )
 def speech_text(p: Plant):

@@ -128,14 +128,14 @@ def oee_shift_day(p: Plant):
 def stops_today(p: Plant):
     wanted = plant_shifts(p, "pareto_day_off")
     totals = stops.reason_totals(p.plant_stopages(), p.motives(), p.motive_types(), wanted)
-    return stops.class_totals(stops.pareto(totals, 10))
+    return stops.class_totals(stops.reasons(totals))
 
 
-TOTALS = f"""t10 AS (SELECT {pareto_columns()} FROM plant_pareto10),
+TOTALS = f"""every AS (SELECT {pareto_columns()} FROM plant_reasons),
   tot AS (SELECT coalesce(sum("Eventos") FILTER (WHERE "Clasificacion" = 'NP'), 0)::BIGINT AS np_events,
       coalesce(sum("Duracion_Min") FILTER (WHERE "Clasificacion" = 'NP'), 0) AS np_minutes,
       coalesce(sum("Eventos") FILTER (WHERE "Clasificacion" = 'P'), 0)::BIGINT AS p_events,
-      coalesce(sum("Duracion_Min") FILTER (WHERE "Clasificacion" = 'P'), 0) AS p_minutes FROM t10)"""
+      coalesce(sum("Duracion_Min") FILTER (WHERE "Clasificacion" = 'P'), 0) AS p_minutes FROM every)"""
 
 
 SYNCED = f"""{TOP1_SNAPSHOT}, {TOTALS}

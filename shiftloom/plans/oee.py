@@ -461,9 +461,3 @@ def chart_requery(p: Plant):
     rows = star(p, "no_quality").select(F.col("Fecha").cast("string").alias("Fecha"), "Turno", F.col("Oee").alias("OEE"))
     frame = charts.chart_frame(rows, charts.ChartSpec(x="Fecha", ys=["OEE"]), star(p, "weighted_requery"))
     return rounded(frame, 4, "y")
-
-
-@query("payload_caps", """SELECT "Fecha", "Turno", "CurrentProduction" FROM detail ORDER BY "Fecha" DESC, "Turno", "CurrentProduction", "ExpectedProduction" LIMIT 20""")
-def payload_caps(p: Plant):
-    ordered = details(p).orderBy(F.desc("Fecha"), "Turno", "CurrentProduction", "ExpectedProduction")
-    return ordered.limit(20).select("Fecha", "Turno", "CurrentProduction")

@@ -152,7 +152,7 @@ TABLES: dict[str, str] = {
         FROM catalog WHERE active""",
     "critical": "SELECT lower(var_id) AS var_id, name, device, min_val, max_val, crit_min, crit_max FROM sensors WHERE is_critical = 1",
     "reads": """
-        SELECT 'Var-' || (user_id % 12) AS raw_id, 'var-' || (user_id % 12) AS var_id, user_id AS line_id, event_id AS seq, ts AS t,
+        SELECT 'Var-' || ((user_id + event_id % 2) % 12) AS raw_id, 'var-' || ((user_id + event_id % 2) % 12) AS var_id, user_id AS line_id, event_id AS seq, ts AS t,
           CASE WHEN event_id % 37 <> 0 THEN value END AS value, (5 + event_id % 3)::DOUBLE AS lo, (100 + 10 * (event_id % 3))::DOUBLE AS hi,
           CAST(ts - to_hours(7) AS DATE) AS day,
           CASE WHEN sod BETWEEN 25200 AND 55799 THEN 'Primer' WHEN sod BETWEEN 55800 AND 82799 THEN 'Segundo' ELSE 'Tercer' END AS shift
@@ -166,10 +166,10 @@ TABLES: dict[str, str] = {
             min(value) AS min_value, max(value) AS max_value FROM flagged GROUP BY var_id) g
           LEFT JOIN critical c ON c.var_id = g.var_id""",
     "episodes": """
-        SELECT line_id, min(t) AS t0, max(t) AS t1, count(*) AS n
-        FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY t, seq)
-            - row_number() OVER (PARTITION BY line_id, is_out ORDER BY t, seq) AS g FROM flagged)
-        WHERE is_out GROUP BY line_id, g""",
+        SELECT line_id, var_id, min(t) AS t0, max(t) AS t1, count(*) AS n
+        FROM (SELECT *, row_number() OVER (PARTITION BY line_id, var_id ORDER BY t, seq)
+            - row_number() OVER (PARTITION BY line_id, var_id, is_out ORDER BY t, seq) AS g FROM flagged)
+        WHERE is_out GROUP BY line_id, var_id, g""",
     "messages": """
         SELECT 'thread_' || conv_id AS thread_id, conv_id, turn, role, text,
           CASE WHEN role = 'assistant' THEN '["static/plots/p_' || conv_id || '.html", "static/plots/q_' || turn || '.png"]'

@@ -165,22 +165,25 @@ def date_spine_query(p: Plant):
     return ends.select("line_id", F.explode(date_spine(F.col("a"), F.col("b"))).alias("day"))
 
 
-@query("excursion_episodes", "SELECT line_id, t0, t1, n FROM episodes")
+@query("excursion_episodes", "SELECT line_id, var_id, t0, t1, n FROM episodes")
 def excursion_episodes(p: Plant):
-    found = sensors.episodes(p.reads(), ["ProductionLineId"])
-    return found.select(F.col("ProductionLineId").alias("line_id"), "t0", "t1", "n")
+    return sensors.episodes(p.reads()).select(*_series(), "t0", "t1", "n")
+
+
+def _series():
+    return F.col("ProductionLineId").alias("line_id"), F.lower("ProductionLineControlVariableId").alias("var_id")
 
 
 @query(
     "excursion_stop_overlap",
-    """SELECT e.line_id, t0, t1, n, start_date, end_date, type,
+    """SELECT e.line_id, e.var_id, t0, t1, n, start_date, end_date, type,
       round_even(extract('epoch' FROM least(t1, end_date) - greatest(t0, start_date)) * 1e4, 0) / 1e4 AS overlap_sec
     FROM episodes e JOIN interval_stops s ON e.line_id = s.line_id AND t0 < end_date AND start_date <= t1""",
 )
 def excursion_stop_overlap(p: Plant):
-    found = sensors.episode_stops(sensors.episodes(p.reads(), ["ProductionLineId"]), p.interval_stops())
+    found = sensors.episode_stops(sensors.episodes(p.reads()), p.interval_stops())
     named = found.select(
-        F.col("ProductionLineId").alias("line_id"), "t0", "t1", "n", F.col("StartDate").alias("start_date"),
+        *_series(), "t0", "t1", "n", F.col("StartDate").alias("start_date"),
         F.col("EndDate").alias("end_date"), F.col("Type").alias("type"), "overlap_sec",
     )
     return rounded(named, 4, "overlap_sec")

@@ -62,7 +62,7 @@ def sink_json(p: Plant):
 @query(
     "sink_append_thread",
     """SELECT t.thread_id, t.user_name, t.title, t.created_at, true AS active, count(m.turn) AS messages
-    FROM threads t JOIN messages m ON m.thread_id = t.thread_id GROUP BY ALL HAVING count(m.turn) FILTER (WHERE m.role = 'user') > 0 OR t.created_at < TIMESTAMP '2024-01-31'""",
+    FROM threads t JOIN messages m ON m.thread_id = t.thread_id GROUP BY ALL""",
 )
 def sink_append_thread(p: Plant):
     """Old conversations are stored first; then all messages arrive, with the conversations that are new."""

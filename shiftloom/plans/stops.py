@@ -82,15 +82,22 @@ def pareto_np_chart(p: Plant):
     return stops.np_chart(pareto(p, 20, "pareto_day_off"))
 
 
-@query(
-    "stop_class_totals",
-    f"""WITH t AS (SELECT {pareto_columns()} FROM pareto10)
+def _class_totals_sql(rows: str) -> str:
+    return f"""WITH t AS (SELECT {pareto_columns()} FROM {rows})
     SELECT coalesce(sum("Eventos") FILTER (WHERE "Clasificacion" = 'NP'), 0)::BIGINT AS np_events,
       coalesce(sum("Duracion_Min") FILTER (WHERE "Clasificacion" = 'NP'), 0.0::DOUBLE) AS np_minutes,
       coalesce(sum("Eventos") FILTER (WHERE "Clasificacion" = 'P'), 0)::BIGINT AS p_events,
-      coalesce(sum("Duracion_Min") FILTER (WHERE "Clasificacion" = 'P'), 0.0::DOUBLE) AS p_minutes FROM t""",
-)
+      coalesce(sum("Duracion_Min") FILTER (WHERE "Clasificacion" = 'P'), 0.0::DOUBLE) AS p_minutes FROM t"""
+
+
+@query("stop_class_totals", _class_totals_sql("(SELECT * FROM reasons_work)"))
 def stop_class_totals(p: Plant):
+    return stops.class_totals(stops.reasons(totals(p, "pareto_day_off")))
+
+
+@query("stop_class_totals_top", _class_totals_sql("pareto10"))
+def stop_class_totals_top(p: Plant):
+    """Of the ten longest reasons only, as the older report has it."""
     return stops.class_totals(pareto(p, 10, "pareto_day_off"))
 
 

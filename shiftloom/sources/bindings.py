@@ -246,7 +246,7 @@ class Plant:
 
     def reads(self) -> DataFrame:
         return self.raw("events").selectExpr("*", f"{SECOND_OF_DAY.format('ts')} AS sod").selectExpr(
-            "'Var-' || (user_id % 12) AS ProductionLineControlVariableId",
+            "'Var-' || ((user_id + event_id % 2) % 12) AS ProductionLineControlVariableId",
             "user_id AS ProductionLineId",
             "event_id AS ReadSeq",
             "ts AS LocalTime",

@@ -7,6 +7,7 @@ Two layouts are read: ``{base}/{day}/{shift...}.parquet`` as delivered, and
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +15,6 @@ from pyspark.sql import functions as F
 
 from shiftloom.functions.texts import SHIFT_WORDS
 
-# Fixed value: the longest range one sensor may be charted over.
-MAX_CHART_DAYS = 14
-
-
 def days_between(first: str, last: str, limit: int | None = None) -> list[str]:
     """Inclusive list of days; more than ``limit`` is an error."""
     start, end = date.fromisoformat(first), date.fromisoformat(last)
@@ -27,15 +24,6 @@ def days_between(first: str, last: str, limit: int | None = None) -> list[str]:
     return days
 
 
-def file_shift(path: Column) -> Column:
-    """Shift named by a file: its name contains the shift word, in any case; null if none."""
-    name = F.lower(F.ltrim(F.substring_index(path, "/", -1)))
-    out = F.lit(None).cast("string")
-    for word in reversed(SHIFT_WORDS):
-        out = F.when(name.endswith(".parquet") & F.contains(name, F.lit(word.lower())), word).otherwise(out)
-    return out
-
-
 def file_day(path: Column) -> Column:
     """Day folder that holds a file."""
     return F.element_at(F.split(path, "/"), -2).try_cast("date")
@@ -60,7 +48,8 @@ def list_files(spark: SparkSession, base: str, days: list[str]) -> DataFrame:
     """Parquet files of the given day folders, names only; days without a folder are left out."""
     folders = "{" + ",".join(days) + "}"
     try:
-        return spark.read.format("binaryFile").load(f"{base}/{folders}/*.parquet").select("path")
+        files = spark.read.format("binaryFile").load(f"{base}/{folders}/*.[pP][aA][rR][qQ][uU][eE][tT]")
+        return files.select("path")
     except AnalysisException as error:
         raise FileNotFoundError(f"no reads for {days[0]} to {days[-1]}") from error
 
@@ -72,23 +61,33 @@ def load_delivered(spark: SparkSession, base: str, days: list[str], shifts: tupl
     listing is two names per day and shift, not data.
     """
     chosen = pick_files(list_files(spark, base, days)).where(F.col("shift").isin(*shifts))
-    files = [r.path for r in chosen.collect()]
+    files = sorted((r.shift, r.path) for r in chosen.collect())
     if not files:
         raise FileNotFoundError(f"no reads for {days[0]} to {days[-1]}")
-    df = spark.read.parquet(*files)
-    path = F.col("_metadata.file_path")
-    return df.withColumns({"Day": file_day(path), "Shift": file_shift(path)})
+    # a file may serve several shifts: it is read for each, as the reads of that shift
+    frames = []
+    for shift in sorted({s for s, _ in files}):
+        df = spark.read.parquet(*(path for s, path in files if s == shift))
+        frames.append(df.withColumns({"Day": file_day(F.col("_metadata.file_path")), "Shift": F.lit(shift)}))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def sensor_key(sensor: Column) -> Column:
+    """A sensor id without blanks around it, in upper case."""
+    return F.upper(F.trim(sensor))
 
 
 def write_reads(reads: DataFrame, path: str) -> str:
     """Reads partitioned by day and shift.
 
-    Rows are spread by hour, whatever their sensor, and sorted by sensor within a
-    file, so that a scan for one sensor skips the other row groups.
+    Files are of even size, however many reads an hour has, and sorted by sensor, so that
+    a scan for one sensor skips the other row groups. ``SensorKey`` is the sensor id in
+    the form to filter by: a filter on a computed form would not reach the scan.
     """
     (
-        reads.repartition("Day", "Shift", F.hour("LocalTime"))
-        .sortWithinPartitions("Day", "Shift", "ProductionLineControlVariableId", "LocalTime")
+        reads.withColumn("SensorKey", sensor_key(F.col("ProductionLineControlVariableId")))
+        .hint("rebalance", "Day", "Shift")
+        .sortWithinPartitions("Day", "Shift", "SensorKey", "LocalTime")
         .write.partitionBy("Day", "Shift")
         .parquet(path)
     )

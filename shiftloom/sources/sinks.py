@@ -42,12 +42,17 @@ def write_json(df: DataFrame, path: str) -> str:
 
 
 def append_thread(threads_path: str, messages_path: str, messages: DataFrame, user_name: Column) -> None:
-    """Append messages, and first the conversations that are not stored yet."""
+    """Append messages, and first the conversations that are not stored yet.
+
+    Messages that are stored already, by conversation and turn, are not stored again, so
+    a run may be repeated.
+    """
     spark = messages.sparkSession
     stored = spark.read.parquet(threads_path)
     new_threads(stored, messages, user_name).select(*stored.columns).write.mode("append").parquet(threads_path)
-    columns = spark.read.parquet(messages_path).columns
-    messages.select(*columns).write.mode("append").parquet(messages_path)
+    known = spark.read.parquet(messages_path)
+    new = messages.join(known.select("thread_id", "turn"), ["thread_id", "turn"], "left_anti")
+    new.select(*known.columns).write.mode("append").parquet(messages_path)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: list[str] | None = None) -> None:

@@ -85,7 +85,7 @@ def test_one_variable(january):
     with pytest.raises(LookupError):
         january.variable("nada parecido", "2024-01-05")
     with pytest.raises(ValueError):
-        january.variable("var-7", "2024-01-01", "2024-01-15")
+        january.variable("var-7", "2024-01-01", "2024-01-15", most_days=14)
 
 
 def test_oee_over_dates_is_consolidated(history):

@@ -67,3 +67,15 @@ def test_append_thread(spark, tmp_path):
     got = {r.thread_id: (r.user_name, r.title) for r in spark.read.parquet(threads).collect()}
     assert got == {"a": ("u", "viejo"), "b": ("w", "nuevo hilo")}
     assert spark.read.parquet(store).count() == 4
+    sinks.append_thread(threads, store, new, F.lit("w"))
+    assert spark.read.parquet(store).count() == 4 and spark.read.parquet(threads).count() == 2
+    silent = messages(spark, [("c", 0, "assistant", "hola", None, 20)])
+    sinks.append_thread(threads, store, silent, F.lit("w"))
+    assert [r.title for r in spark.read.parquet(threads).where("thread_id = 'c'").collect()] == [""]
+
+
+def test_message_order_keeps_messages_without_time_or_thread(spark):
+    rows = messages(spark, [("a", 0, "user", "x", None, 0), ("a", 1, "user", "y", None, 1), (None, 0, "user", "z", None, 0)])
+    rows = rows.withColumn("created_at", F.when(F.col("turn") == 0, F.col("created_at")))
+    out = ops.message_order(rows).collect()
+    assert sorted((r.thread_id or "", r.turn, r.position) for r in out) == [("", 0, 1), ("a", 0, 2), ("a", 1, 1)]

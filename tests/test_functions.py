@@ -159,4 +159,5 @@ def test_message_flags(one, text, greeting, kpi, realtime, sql, bad):
 
 def test_speech_text_cuts_long_text(one):
     assert one(lambda c: texts.speech_text(F.col(c)), "**Hola**\n\n# mundo") == "Hola mundo"
-    assert one(lambda c: texts.speech_text(F.col(c)), "a" * 5000) == "a" * 4000 + "..."
+    assert one(lambda c: texts.speech_text(F.col(c), 4000), "a" * 5000) == "a" * 4000 + "..."
+    assert one(lambda c: texts.speech_text(F.col(c)), "a" * 5000) == "a" * 5000

@@ -35,8 +35,8 @@ def by_line(rows):
     return out
 
 
-# Rows per bucket: hours, minutes and seconds are all put to use.
-SIZES = [1_000_000, 3, 0]
+# Seconds per bucket: hours, minutes and seconds are all put to use.
+SIZES = [3600, 60, 1]
 
 
 @pytest.mark.parametrize("size", SIZES)
@@ -99,13 +99,19 @@ def test_begun_runs(spark, seed, size):
         begun = [sum(s == want and (i == 0 or states[i - 1] != want) for i, s in enumerate(states)) for want in (True, False)]
         expected.append((line, *begun))
     df = frame(spark, rows)
-    df = df.withColumn("b", time_bucket(df, ["line"], "t", size))
+    df = df.withColumn("b", time_bucket("t", size))
     out = begun_runs(df, ["line"], "b", "t", "seq", {"on": F.col("state"), "off": ~F.col("state")})
     assert sorted(tuple(r) for r in out.select("line", "on", "off").collect()) == sorted(expected)
 
 
-def test_bucket_width_follows_the_fullest_hour(spark):
-    rows = [(1, START + timedelta(seconds=20 * i), i, True) for i in range(180)]
+def test_bucket_width_is_an_argument(spark):
+    rows = [(1, START + timedelta(seconds=20 * k), k, True) for k in range(180)]
     df = frame(spark, rows)
-    counts = [df.select(time_bucket(df, ["line"], "t", size).alias("b")).distinct().count() for size in (180, 100, 2)]
+    counts = [df.select(time_bucket("t", width).alias("b")).distinct().count() for width in (3600, 60, 1)]
     assert counts == [1, 60, 180]
+
+
+def test_null_series_and_times_keep_their_rows(spark):
+    rows = [(1, START, 1, True), (1, None, 2, True), (None, START, 3, True), (None, None, 4, False)]
+    out = row_numbers(frame(spark, rows), ["line"], "t", "seq", "n").select("seq", "n").collect()
+    assert sorted(map(tuple, out)) == [(1, 2), (2, 1), (3, 2), (4, 1)]

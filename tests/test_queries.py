@@ -5,7 +5,8 @@ import os
 import pytest
 from check import DATA, compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from shiftloom.plans import ORACLES, QUERIES
 
 FOLDER = f"{DATA}/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="benchmark tables are not here")
@@ -17,12 +18,12 @@ def con():
 
 
 def test_every_query_has_check_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, con, key):
-    result = compare(spark, con, key, FOLDER, queries(), oracle_sql())
+    result = compare(spark, con, key, FOLDER, QUERIES, ORACLES)
     assert result.startswith("ok"), result
 
 

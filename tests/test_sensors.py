@@ -109,6 +109,7 @@ def test_episode_stops_against_brute_force(spark, seed):
     episodes = [(rng.choice([1, 1, 2]), *span(30000), i) for i in range(60)]
     stops = [(rng.choice([1, 1, 2]), *span(90000), f"s{i}") for i in range(60)]
     left = spark.createDataFrame(episodes, "ProductionLineId int, t0 timestamp_ntz, t1 timestamp_ntz, n int")
+    left = left.withColumn("ProductionLineControlVariableId", F.concat(F.lit("v"), F.col("n").cast("string")))
     right = spark.createDataFrame(stops, "ProductionLineId int, StartDate timestamp_ntz, EndDate timestamp_ntz, Type string")
     expected = sorted(
         (e[3], s[3], (min(e[2], s[2]) - max(e[1], s[1])).total_seconds())
@@ -116,8 +117,20 @@ def test_episode_stops_against_brute_force(spark, seed):
         for s in stops
         if e[0] == s[0] and e[1] < s[2] and s[1] <= e[2]
     )
-    out = sensors.episode_stops(left, right).select("n", "Type", "overlap_sec").collect()
-    assert sorted(tuple(r) for r in out) == expected
+    out = sensors.episode_stops(left, right)
+    assert {r.ProductionLineControlVariableId == f"v{r.n}" for r in out.collect()} == {True}
+    assert sorted(tuple(r) for r in out.select("n", "Type", "overlap_sec").collect()) == expected
+
+
+def test_sensors_of_a_line_have_their_own_episodes(spark):
+    rows = [(1, "a", START + timedelta(minutes=k), k, 200.0, 5.0, 100.0) for k in (0, 2, 4)]
+    rows += [(1, "b", START + timedelta(minutes=k), k, 50.0, 5.0, 100.0) for k in (1, 3)]
+    reads = spark.createDataFrame(
+        rows,
+        "ProductionLineId int, ProductionLineControlVariableId string, LocalTime timestamp_ntz, ReadSeq int, "
+        "Value double, CriticalMinValue double, CriticalMaxValue double",
+    )
+    assert [(r.ProductionLineControlVariableId, r.n) for r in sensors.episodes(reads).collect()] == [("a", 3)]
 
 
 def test_missing_days(spark):

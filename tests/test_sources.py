@@ -5,6 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from shiftloom.operators import sensors
 from shiftloom.schemas import conform, schema_of
 from shiftloom.session import scratch_path
 from shiftloom.sources import reads as rd
@@ -31,7 +32,7 @@ def test_delivered_files(spark, tmp_path):
     deliver(tmp_path, "2026-01-05", "segundo-1.parquet", 3.0)
     deliver(tmp_path, "2026-01-05", "otro.parquet", 4.0)
     deliver(tmp_path, "2026-01-07", "TERCER_9.parquet", 5.0)
-    days = rd.days_between("2026-01-05", "2026-01-08", limit=rd.MAX_CHART_DAYS)
+    days = rd.days_between("2026-01-05", "2026-01-08", limit=14)
     out = rd.load_delivered(spark, str(tmp_path), days).orderBy("Value").collect()
     assert [(r.Value, r.Day, r.Shift) for r in out] == [
         (1.0, date(2026, 1, 5), "Primer"),
@@ -41,6 +42,13 @@ def test_delivered_files(spark, tmp_path):
     assert [r.Value for r in rd.load_delivered(spark, str(tmp_path), days, ("Tercer",)).collect()] == [5.0]
 
 
+def test_a_file_may_serve_several_shifts(spark, tmp_path):
+    deliver(tmp_path, "2026-01-05", "primer_segundo.PARQUET", 1.0)
+    out = rd.load_delivered(spark, str(tmp_path), ["2026-01-05"])
+    assert sorted((r.Value, r.Shift) for r in out.collect()) == [(1.0, "Primer"), (1.0, "Segundo")]
+    assert [r.Shift for r in rd.load_delivered(spark, str(tmp_path), ["2026-01-05"], ("Segundo",)).collect()] == ["Segundo"]
+
+
 def test_nothing_delivered_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         rd.load_delivered(spark, str(tmp_path), ["2026-01-05"])
@@ -65,6 +73,8 @@ def test_written_reads_prune_partitions(spark, tmp_path):
     assert [r.ReadSeq for r in out.collect()] == [0] and len(out.inputFiles()) >= 1
     plan = out._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(Day" in plan
+    one = sensors.variable_reads(rd.load_reads(spark, path), " A ")
+    assert one.count() == 3 and "EqualTo(SensorKey,A)" in one._jdf.queryExecution().toString()
 
 
 def test_tables(spark, tmp_path):
@@ -93,10 +103,11 @@ def test_csv_and_json(spark, tmp_path):
 
 
 class Settings:
-    """A session that only knows its settings."""
+    """A session that only knows its settings and its master."""
 
-    def __init__(self, **settings):
-        self.conf = self
+    def __init__(self, master="local[2]", **settings):
+        self.conf = self.sparkContext = self
+        self.master = master
         self.settings = settings
 
     def get(self, key, default=None):
@@ -108,6 +119,8 @@ def test_scratch_uses_the_shared_folder():
     first, second = scratch_path(named, "x"), scratch_path(named, "x")
     assert first != second and first.startswith("hdfs://shared/ck/x-")
     assert "shiftloom-" in scratch_path(Settings(), "x")
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        scratch_path(Settings("spark://host:7077"), "x")
 
 
 def test_bucketed_tables_join_without_shuffle(spark):
