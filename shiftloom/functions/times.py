@@ -9,12 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A time of day as text, and the free-form day texts that are read, by
-# shape (day before month).
+# shape. Day comes before month, but for texts that begin with the year, where month comes
+# before day. A year of two digits is one of 2000 to 2099.
 TIME_TEXT = r"^\s*([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?\s*$"
 DAY_SHAPES = (
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
     (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
+    (r"^\d{1,2}-\d{1,2}-\d{2}$", "d-M-yy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{2}$", "d.M.yy"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
@@ -22,6 +26,14 @@ DAY_SHAPES = (
     (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
     (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2} \d{4}$", "MMMM d yyyy"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{2}:\d{2}$", "d.M.yyyy HH:mm"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{2}:\d{2}:\d{2}$", "d.M.yyyy HH:mm:ss"),
+    (r"^\d{1,2}-\d{1,2}-\d{4} \d{2}:\d{2}$", "d-M-yyyy HH:mm"),
+    (r"^\d{1,2}-\d{1,2}-\d{4} \d{2}:\d{2}:\d{2}$", "d-M-yyyy HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
     (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2}$", "d/M/yyyy HH:mm:ss"),

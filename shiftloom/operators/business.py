@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,8 +135,21 @@ def shift_star(summaries: DataFrame, shifts: Shifts) -> DataFrame:
 
 
 def on_dates(star: DataFrame, days: list[Day]) -> DataFrame:
-    """Rows whose business date is in a given list."""
-    return star.where(F.col("Fecha").isin(*[day_col(d) for d in days]))
+    """Rows whose business date is in a given list.
+
+    What the list implies for the stored clock columns is stated too, so that it reaches
+    the scan where the rows still have them.
+    """
+    wanted = star.where(F.col("Fecha").isin(*[day_col(d) for d in days]))
+    if not days or not {"StartDate", "EndDate"} <= set(star.columns):
+        return wanted
+
+    def within(column: str, day: Day, after: int) -> Column:
+        first = F.date_add(day_col(day), after)
+        return (F.col(column) >= first) & (F.col(column) < F.date_add(first, 1))
+
+    near = [within("StartDate", d, 0) | within("EndDate", d, 1) for d in days]
+    return wanted.where(reduce(Column.__or__, near))
 
 
 def null_defaults(df: DataFrame, labels: dict[str, str] | None = None, numbers: tuple[str, ...] = ()) -> DataFrame:

@@ -83,10 +83,12 @@ def percent_scale(df: DataFrame, ys: list[str]) -> DataFrame:
 
 
 def sort_series(df: DataFrame, x: str) -> DataFrame:
-    """Order by ``x`` as a number or a time where all of it reads as one, otherwise as text."""
+    """Order by ``x``; of texts, plain ones come first, then times, then numbers, each by what they say."""
     if not isinstance(df.schema[x].dataType, T.StringType):
         return df.orderBy(quoted(x))
-    return df.orderBy(quoted(x).try_cast("timestamp_ntz"), quoted(x))
+    time = quoted(x).try_cast("timestamp_ntz")
+    number = F.when(time.isNull(), quoted(x).try_cast("double"))
+    return df.orderBy(number, time, quoted(x))
 
 
 def series_column(df: DataFrame, x: str) -> str | None:

@@ -26,15 +26,22 @@ def read_warehouse(
     table: str,
     split_column: str | None = None,
     bounds: tuple[str, str] | None = None,
-    splits: int = 1,
+    splits: int = 64,
+    small: bool = False,
     **options: str,
 ) -> DataFrame:
-    """A warehouse table over JDBC, read in parallel ranges of ``split_column``."""
+    """A warehouse table over JDBC, read in parallel ranges of ``split_column``.
+
+    Without a split the whole table comes through one task; that has to be asked for
+    with ``small``.
+    """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     if split_column and bounds:
         reader = reader.options(
             partitionColumn=split_column, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=str(splits)
         )
+    elif not small:
+        raise ValueError(f"name a split column and its bounds for {table}, or say that it is small")
     return reader.options(**options).load()
 
 

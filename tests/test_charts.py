@@ -59,6 +59,8 @@ def test_percent_scale(spark):
 def test_sorting_of_times_in_text(spark):
     df = spark.createDataFrame([("2026-01-10",), ("2026-01-09 23:00:00",), ("b",), ("a",)], "x string")
     assert [r.x for r in charts.sort_series(df, "x").collect()] == ["a", "b", "2026-01-09 23:00:00", "2026-01-10"]
+    numbers = spark.createDataFrame([("10",), ("9",), ("100",), ("x",)], "x string")
+    assert [r.x for r in charts.sort_series(numbers, "x").collect()] == ["x", "9", "10", "100"]
 
 
 def test_correlation_uses_pairs_that_are_present(spark):

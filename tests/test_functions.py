@@ -43,6 +43,13 @@ def test_parse_duration_text(one, text, minutes):
         ("6 Jan 2026", "2026-01-06"),
         ("6 January 2026", "2026-01-06"),
         ("20260106", "2026-01-06"),
+        ("2026/01/06", "2026-01-06"),
+        ("2026-1-6", "2026-01-06"),
+        ("06/01/26", "2026-01-06"),
+        ("6.1.26", "2026-01-06"),
+        ("Jan 6 2026", "2026-01-06"),
+        ("06.01.2026 10:00", "2026-01-06"),
+        ("2026-01-06T10:11", "2026-01-06"),
         ("2026-01-06 10:11:12", "2026-01-06"),
         ("99/99/2026", "2026-99-99"),
         ("mañana", "mañana"),
