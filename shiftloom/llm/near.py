@@ -5,8 +5,10 @@ one class, and only classes are compared. A class has ``BANDS`` keys of ``ROWS``
 samples each; classes that share a key are candidates. The samples are also folded into
 an odd sketch, a bitmap that holds the parity of the samples at each bit: the population
 count of two sketches' XOR estimates how many samples differ, and so the similarity,
-most precisely where it is high. Candidates far below the threshold end there; the rest
-are compared by their full sets.
+most precisely where it is high. A second odd sketch holds the parity of the whole set:
+the population count of two of these never exceeds the number of shingles that only one
+set has, so what the threshold does not allow is ruled out for certain. Candidates that
+neither rules out are compared by their full sets.
 
 Within a bucket not all pairs are compared. Each class is compared with the bucket's
 pivot first, and components are found. Only where a bucket still holds classes of several
@@ -34,6 +36,7 @@ BANDS, ROWS = 40, 6  # a pair at similarity 0.8 shares no band once in 190,000
 WORDS = 16  # 64-bit words of an odd sketch
 MARGIN = 0.15  # five standard errors of a sketch's estimate at 0.8
 
+DRAWN = ("size", "sketch", "parity")
 PIVOTS = 3  # others that a class is compared with first
 
 FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) << np.uint64(8)) | np.uint64(1)
@@ -60,13 +63,18 @@ def shingles(offsets: np.ndarray, data: np.ndarray, wide: int) -> tuple[np.ndarr
     return text[new], total[new]
 
 
-def sketches(samples: np.ndarray) -> np.ndarray:
-    """Odd sketches of rows of MinHash samples: parity bitmaps of (position, sample)."""
+def odd(row: np.ndarray, item: np.ndarray, n: int) -> np.ndarray:
+    """Odd sketches of n rows: parity bitmaps of the items of each."""
     bits = WORDS * 64
-    at = mixed(samples + np.arange(samples.shape[1], dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) % np.uint64(bits)
-    flat = at.astype(np.int64) + np.arange(len(samples))[:, None] * bits
-    odd = np.bincount(flat.ravel(), minlength=len(samples) * bits) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(len(samples), bits), axis=1)
+    at = (mixed(item) % np.uint64(bits)).astype(np.int64) + row * bits
+    parity = np.bincount(at, minlength=n * bits) & 1
+    return np.packbits(parity.astype(np.uint8).reshape(n, bits), axis=1).view(np.int64)
+
+
+def sketches(samples: np.ndarray) -> np.ndarray:
+    """Odd sketches of rows of MinHash samples; the same sample elsewhere in the row is another item."""
+    item = samples + np.arange(samples.shape[1], dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
+    return odd(np.repeat(np.arange(len(samples)), samples.shape[1]), item.ravel(), len(samples))
 
 
 def signatures(docs: DataFrame, wide: int) -> DataFrame:
@@ -90,6 +98,7 @@ def signatures(docs: DataFrame, wide: int) -> DataFrame:
                     bands = mixed(bands * np.uint64(31) + samples[:, k::ROWS])
                 bands = mixed(bands + np.arange(BANDS, dtype=np.uint64))
                 drawn = sketches(samples)
+                whole = odd(text, item, n)
                 at = np.full(n, -1)
                 at[full] = np.arange(len(full))
                 raw = item.tobytes()
@@ -102,13 +111,15 @@ def signatures(docs: DataFrame, wide: int) -> DataFrame:
                         pa.array(size, pa.int64()),
                         pa.array(sets, pa.binary()),
                         pa.array([bands[k].view(np.int64) if k >= 0 else None for k in at], pa.list_(pa.int64())),
-                        pa.array([drawn[k].view(np.int64) if k >= 0 else None for k in at], pa.list_(pa.int64())),
+                        pa.array([drawn[k] if k >= 0 else None for k in at], pa.list_(pa.int64())),
+                        pa.array([whole[i] if k >= 0 else None for i, k in enumerate(at)], pa.list_(pa.int64())),
                     ],
-                    names=["id", "hash", "n_shingles", "set", "bands", "sketch"],
+                    names=["id", "hash", "n_shingles", "set", "bands", "sketch", "parity"],
                 )
 
     return docs.mapInArrow(
-        sign, f"id {kind}, hash long, n_shingles long, set binary, bands array<long>, sketch array<long>"
+        sign, f"id {kind}, hash long, n_shingles long, set binary, bands array<long>, sketch array<long>, "
+        "parity array<long>"
     )
 
 
@@ -161,6 +172,7 @@ def placed(docs: DataFrame, wide: int, percent: int, id_col: str, text_col: str)
         F.first("n_shingles").alias("size"),
         F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch"),
+        F.first("parity").alias("parity"),
     )
     classes = stored(classes, "classes")
     least = classes.select("node", F.col("one.id").alias("least"))
@@ -187,7 +199,7 @@ def linked_classes(classes: DataFrame, rows: DataFrame, wide: int, percent: int)
     common = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     buckets = stored(keys.join(stored(common, "keys"), "key", "left_semi"), "buckets")
 
-    ones = classes.select("node", F.col("one.id").alias("id"), F.col("one.hash").alias("hash"), "size", "sketch")
+    ones = classes.select("node", F.col("one.id").alias("id"), F.col("one.hash").alias("hash"), *DRAWN)
     ones = ones.join(buckets.select("node").distinct(), "node", "left_semi")
     # rows with equal id and text are equal, so any of them will do
     texts = stored(rows.join(ones, ["id", "hash"]).dropDuplicates(["id", "hash"]).drop("id", "hash"), "texts")
@@ -210,14 +222,14 @@ def linked_classes(classes: DataFrame, rows: DataFrame, wide: int, percent: int)
         split = _split(split.select("key", "node"), found)
 
     # what is left: all pairs across the components of a bucket
-    split = split.join(texts.select("node", "size", "sketch"), "node").join(classes.select("node", "bands"), "node")
+    split = split.join(texts.select("node", *DRAWN), "node").join(classes.select("node", "bands"), "node")
     a, b = split.alias("a"), split.alias("b")
     first_key = F.array_min(F.array_intersect(F.col("a.bands"), F.col("b.bands")))
     across = a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.component") < F.col("b.component"))
-        & likely(F.col("a.size"), F.col("b.size"), F.col("a.sketch"), F.col("b.sketch"), percent)
+        & likely("a.{}", "b.{}", percent)
         & (F.col("a.key") == first_key),  # in one of their buckets only
     )
     pairs = across.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
@@ -244,25 +256,38 @@ def _split(buckets: DataFrame, found: DataFrame) -> DataFrame:
 def estimate(a: Column, b: Column) -> Column:
     """Similarity by two odd sketches; 0 where they are too far apart to say."""
     bits, samples = float(WORDS * 64), float(BANDS * ROWS)
-    apart = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(WORDS)), F.lit(0))
-    rest = 1 - 2 * apart / F.lit(bits)
+    rest = 1 - 2 * apart(a, b) / F.lit(bits)
     return F.when(rest > 0, 1 + F.lit(bits / (4 * samples)) * F.log(rest)).otherwise(F.lit(0.0))
 
 
-def likely(size_a: Column, size_b: Column, a: Column, b: Column, percent: int) -> Column:
-    """Whether a pair may reach the threshold: the sizes allow it and the sketches do not rule it out."""
+def likely(a: str, b: str, percent: int) -> Column:
+    """Whether a pair may reach the threshold, by the columns of its sides (as '{}_a').
+
+    The sizes allow it, no more shingles are known to be in one set only than it allows,
+    and the estimate is not far below.
+    """
+    size_a, size_b = F.col(a.format("size")), F.col(b.format("size"))
     sizes = F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent
-    return sizes & (estimate(a, b) >= percent / 100 - MARGIN)
+    only_one = apart(F.col(a.format("parity")), F.col(b.format("parity")))
+    # intersection and union are (total - d) / 2 and (total + d) / 2
+    allowed = only_one * (100 + percent) <= (size_a + size_b) * (100 - percent)
+    near = estimate(F.col(a.format("sketch")), F.col(b.format("sketch"))) >= percent / 100 - MARGIN
+    return sizes & allowed & near
+
+
+def apart(a: Column, b: Column) -> Column:
+    """Bits in which two odd sketches differ."""
+    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(WORDS)), F.lit(0))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, wide: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold. Pairs that their sketches rule out end before."""
 
     def side(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("size", "sketch", "text")))
+        return texts.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in (*DRAWN, "text")))
 
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    both = both.filter(likely(*(F.col(c) for c in ("size_a", "size_b", "sketch_a", "sketch_b")), percent))
+    both = both.filter(likely("{}_a", "{}_b", percent))
     both = both.select("a", "b", "text_a", "text_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

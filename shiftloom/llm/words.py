@@ -10,6 +10,7 @@ import pyarrow as pa
 from shiftloom.llm.rolling import family, mixed, utf8
 
 SLICE = 1 << 20  # bytes of whole texts worked on at once; a longer text is a slice of its own
+ROWS = 4_096  # texts worked on at once, at most
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -22,7 +23,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     offsets, data = utf8(column)
     row, n = 0, len(offsets) - 1
     while row < n:
-        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1)
+        stop = max(row + 1, min(row + ROWS, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1))
         yield row, stop, offsets[row : stop + 1] - offsets[row], data[offsets[row] : offsets[stop]]
         row = stop
 
