@@ -34,12 +34,38 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(docs, quality.fit(docs, table(spark, folder, "labels")))
 
 
-@query("op4_minhash_near_dedup")
+# Components by walking the links of every document: for the small tables the check runs on.
+WALK = """walk(a, b) AS (SELECT id, id FROM ids UNION SELECT w.a, l.b FROM walk w JOIN links l ON w.b = l.a),
+  parts AS (SELECT a AS id, min(b) AS component_id FROM walk GROUP BY a)"""
+
+NEAR_SQL = f"""WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  sets AS (SELECT doc_id AS id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM split),
+  ids AS (SELECT id FROM sets),
+  items AS (SELECT id, unnest(s) AS item, len(s) AS n FROM sets),
+  links AS (SELECT x.id AS a, y.id AS b FROM items x JOIN items y ON x.item = y.item AND x.id <> y.id
+    GROUP BY x.id, y.id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+  {WALK}
+  SELECT id AS doc_id, len(s)::BIGINT AS n_shingles, component_id, id = component_id AS kept FROM sets JOIN parts USING (id)"""
+
+
+@query("op4_minhash_near_dedup", NEAR_SQL)
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near(table(spark, folder, "documents"), wide=4, percent=80)
 
 
-@query("op9_embedding_near_dedup")
+VECTORS_SQL = f"""WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
+  v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id <> y.id AND list_cosine_similarity(x.e, y.e) >= 0.95),
+  {WALK}
+  SELECT p.id AS vec_id, count(l.b) AS n_links, component_id, p.id = component_id AS kept
+  FROM parts p LEFT JOIN links l ON l.a = p.id GROUP BY ALL"""
+
+
+@query("op9_embedding_near_dedup", VECTORS_SQL)
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"), least=0.95)
 
