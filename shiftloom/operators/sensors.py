@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftloom.functions.numbers import divide_or_null, fixed, round_py
@@ -85,13 +85,24 @@ def high_deviation(summary_rows: DataFrame, limit: float = 5.0) -> DataFrame:
 
 
 def _median(reads: DataFrame, column: str) -> DataFrame:
-    """Exact median per sensor, from the count of each distinct limit value."""
+    """Exact median per sensor, from running counts over its distinct limit values.
+
+    The window holds one row for each limit value and spills; nothing is buffered whole.
+    """
     counted = (
         reads.where(F.col(column).isNotNull())
-        .groupBy(F.lower("ProductionLineControlVariableId").alias("var_id"), F.col(column).alias("_v"))
+        .groupBy(F.lower("ProductionLineControlVariableId").alias("var_id"), F.col(column).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    return counted.groupBy("var_id").agg(F.percentile("_v", F.lit(0.5), F.col("_n")).cast("double").alias("_m"))
+    sensor = Window.partitionBy("var_id")
+    upto = sensor.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(sensor)})
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_upto") >= rank, F.col("_v")))
+
+    middle = (at(F.floor((F.col("_all") + 1) / 2)) + at(F.floor((F.col("_all") + 2) / 2))) / 2
+    return placed.groupBy("var_id").agg(middle.alias("_m"))
 
 
 def median_band(reads: DataFrame) -> DataFrame:
