@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftloom.llm.scratch import stored
@@ -41,7 +42,11 @@ def _large(links: DataFrame) -> DataFrame:
 
 
 def _small(links: DataFrame) -> DataFrame:
-    """Link the neighbours below a node, and the node, to the smallest of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    below = links.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return below.union(least.select("a", F.col("m").alias("b"))).distinct()
+    """Link the neighbours below a node, and the node, to the smallest of them.
+
+    The window holds a node's smaller neighbours only. Many nodes may share a small
+    neighbour, but that one is met as ``b``, never as ``a``.
+    """
+    least = links.withColumn("m", F.min("b").over(W.partitionBy("a")))
+    pairs = F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+    return least.select(F.inline(pairs)).filter("a != b").distinct()

@@ -208,18 +208,17 @@ def linked_classes(classes: DataFrame, rows: DataFrame, wide: int, percent: int)
     pivots = buckets.groupBy("key").agg(F.min("node").alias("b"))
     pairs = _most_shared(buckets.join(pivots, "key").select(F.col("node").alias("a"), "b"), PIVOTS)
     links = stored(confirmed(pairs, texts, wide, percent), "confirmed")
-    found = stored(components(links), "components")
 
-    # where a bucket holds several components: the others with the pivots of the first one
-    split = _split(buckets, found)
+    # where a bucket holds classes of several pivots: the others with those of the first one.
+    # Labels are of one step only here; what is joined by more steps is compared for nothing
+    near = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    split = _split(buckets, near)
     first = split.groupBy("key").agg(F.min(F.struct("component", "node")).alias("first"))
     others = split.join(first, "key").filter("component != first.component")
     pairs = _most_shared(others.select(F.col("node").alias("a"), F.col("first.node").alias("b")), 3 * PIVOTS)
-    more = stored(confirmed(pairs, texts, wide, percent), "confirmed")
-    if not more.isEmpty():
-        links = links.union(more)
-        found = stored(components(links), "components")
-        split = _split(split.select("key", "node"), found)
+    links = stored(links.union(confirmed(pairs, texts, wide, percent)), "confirmed")
+    found = stored(components(links), "components")
+    split = _split(split.select("key", "node"), found)
 
     # what is left: all pairs across the components of a bucket
     split = split.join(texts.select("node", *DRAWN), "node").join(classes.select("node", "bands"), "node")
