@@ -5,16 +5,23 @@ looks into its own cell and into cells next to it, in the order in which they ar
 to hold a near vector: by the sum of squared distances from the query's projections to
 the cells' sides. Candidates of all tables are ranked by their exact distance.
 
-Grid width and number of probes are fitted to a bounded sample: the fewest probes that
-find ``AIM`` of the sample's own neighbours. All rows are indexed. A bucket with many
-rows is split into blocks, and so are the queries that meet it; each pair of blocks gives
-only its best k for a query. A query whose probes find fewer than k goes over all rows.
+A grid is fitted to a bounded sample, for neighbours up to a distance, its reach: the
+fewest probes that find ``AIM`` of the rows that far away. The reach is the one that
+leaves the least to compare. All rows are indexed. A bucket with many rows is split into
+blocks, and so are the queries that meet it; each pair of blocks gives only its best k
+for a query.
+
+The k-th row found is no nearer than the k-th neighbour. So a query whose k-th row is
+within the reach is done. The others, and those that found fewer than k, go to a wider
+grid fitted to them while there are many and a grid spares comparisons, and then over all
+rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -28,21 +35,25 @@ from shiftloom.llm.vectors import matrix, usable
 
 TABLES = 2
 SAMPLE = 8_192  # vectors that the grid is fitted to, at most
-TESTS = 200  # of them that are looked up
-AIM = 0.97  # share of the sample's neighbours that the probes find
+TESTS = 200  # queries that are looked up in it
+AIM = 0.97  # share of the rows at the reach that the probes find
+GRIDS = 3  # at most, before the queries left go over all rows
 BLOCK = 4_096  # rows, and queries, that meet in a task, about
 SPREAD = 2_048  # rows of neighbouring buckets dealt together, about
 
 
 @dataclass
 class Grid:
-    """Projections and offsets of each table, the probes' steps, and how many are taken."""
+    """Projections and offsets of each table, the probes' steps, how many are taken, and
+    the distance up to which they find ``AIM`` of the rows."""
 
     lines: np.ndarray  # tables, dimensions of a vector, dimensions of the grid
     shifts: np.ndarray
     width: float
     steps: np.ndarray  # all steps of -1, 0 and 1 in the grid's dimensions
     probes: int
+    reach: float
+    cost: float = 0.0  # rows compared with a query, those of the next search included, as a share of all
 
     def cells(self, rows: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
         """Cells of rows, and where in the cell they are, from 0 to 1."""
@@ -50,13 +61,29 @@ class Grid:
         low = np.floor(at)
         return np.clip(low, -(2**40), 2**40).astype(np.int64), np.nan_to_num(at - low)
 
+    def order(self, inside: np.ndarray) -> np.ndarray:
+        """Steps of each row, likeliest first."""
+        away = np.stack([inside**2, np.zeros_like(inside), (1 - inside) ** 2])  # to the side a step crosses
+        score = sum(away[self.steps[:, k] + 1, :, k] for k in range(inside.shape[1]))
+        return np.argsort(score, axis=0, kind="stable").T
+
     def probed(self, rows: np.ndarray, table: int, probes: int) -> np.ndarray:
         """Codes of the cells that each row looks into, likeliest first."""
         cell, inside = self.cells(rows, table)
-        away = np.stack([inside**2, np.zeros_like(inside), (1 - inside) ** 2])  # to the side a step crosses
-        score = sum(away[self.steps[:, k] + 1, :, k] for k in range(cell.shape[1]))
-        order = np.argsort(score, axis=0, kind="stable")[:probes].T
-        return code(cell[:, None, :] + self.steps[order])
+        return code(cell[:, None, :] + self.steps[self.order(inside)[:, :probes]])
+
+    def found(self, rows: np.ndarray, away: np.ndarray) -> np.ndarray:
+        """The probe, from 0, that finds what is ``away`` from a row, in the table that finds it first."""
+        first = np.full(away.shape[:2], len(self.steps))
+        for t in range(TABLES):
+            cell, inside = self.cells(rows, t)
+            there = self.cells((rows[:, None] + away).reshape(-1, rows.shape[1]), t)[0]
+            step = there.reshape(*away.shape[:2], -1) - cell[:, None]
+            place = np.argsort(self.order(inside), axis=1)  # of each step in the order
+            index = ((np.clip(step, -1, 1) + 1) * 3 ** np.arange(step.shape[2])[::-1]).sum(axis=2)
+            at = np.take_along_axis(place, index, 1)
+            first = np.minimum(first, np.where((np.abs(step) <= 1).all(axis=2), at, len(self.steps)))
+        return first
 
 
 def code(cells: np.ndarray) -> np.ndarray:
@@ -73,29 +100,50 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T, 0)
 
 
-def fitted(sample: np.ndarray, rows: int, k: int) -> Grid:
-    """Grid for so many rows of which ``sample`` are some."""
+def fitted(sample: np.ndarray, tests: np.ndarray, same: np.ndarray, rows: int, k: int) -> Grid:
+    """Grid for so many rows of which ``sample`` are some, and queries of which ``tests`` are some.
+
+    ``same`` says which row of the sample is the query's own.
+    """
     random = np.random.default_rng(0)
     dim, dims = sample.shape[1], int(np.clip(round(np.log(max(rows, 2) / 64) / np.log(3)), 2, 6))
-    tests = sample[: min(TESTS, len(sample))]
-    near = distances(tests, sample)
-    near[np.arange(len(tests)), np.arange(len(tests))] = np.inf
-    k = min(k, len(sample) - 1)
-    best = np.argpartition(near, k - 1, axis=1)[:, :k] if k else np.zeros((len(tests), 0), np.int64)
-    reach = float(np.sqrt(np.median(np.take_along_axis(near, best, 1)))) if k else 1.0
+    lines, shifts = random.normal(size=(TABLES, dim, dims)), random.random((TABLES, dims))
     steps = np.array(list(product((-1, 0, 1), repeat=dims)))
-    grid = Grid(random.normal(size=(TABLES, dim, dims)), random.random((TABLES, dims)), max(reach, 1e-300) * 1.8, steps, 1)
-    codes = [code(grid.cells(sample, t)[0]) for t in range(TABLES)]
-    at = [grid.probed(tests, t, len(steps)) for t in range(TABLES)]
-    # the probe at which each true neighbour is found, in the table that finds it first
-    found = np.full(best.shape, len(steps))
-    for t in range(TABLES):
-        for i in range(len(tests)):
-            order = np.argsort(at[t][i], kind="stable")
-            where = order[np.minimum(np.searchsorted(at[t][i][order], codes[t][best[i]]), len(steps) - 1)]
-            found[i] = np.minimum(found[i], np.where(at[t][i][where] == codes[t][best[i]], where, len(steps)))
-    share = [(found < p).mean() if found.size else 1.0 for p in range(1, len(steps) + 1)]
-    grid.probes = next((p for p, s in enumerate(share, 1) if s >= AIM), len(steps))
+    # a power of two as unit keeps squares finite
+    unit = 2.0 ** float(np.ceil(np.log2(max(np.abs(sample).max(), np.abs(tests).max()))))
+    sample, tests = sample / unit, tests / unit
+    near = distances(tests, sample)
+    near[same] = np.inf
+    k = min(k, int((~same).sum(axis=1).min()))
+    if not k:
+        return Grid(lines, shifts, unit, steps, len(steps), 0.0)
+    best = np.argpartition(near, k - 1, axis=1)[:, :k]
+    toward = sample[best] - tests[:, None]
+    far = np.sqrt((toward**2).sum(axis=2, keepdims=True))
+    last = far.max(axis=(1, 2))
+    # directions in which neighbours lie; any for equal vectors
+    toward = np.where(far > 0, toward, random.normal(size=toward.shape))
+    toward /= np.sqrt((toward**2).sum(axis=2, keepdims=True))
+    grids = []
+    for reach in np.unique(np.quantile(last, (0.1, 0.25, 0.5, 0.75, 0.9, 0.97, 1.0), method="higher")):
+        grid = Grid(lines, shifts, max(reach, 1e-300) * 1.8, steps, len(steps), reach)
+        while True:
+            found = np.bincount(grid.found(tests, toward * reach).ravel(), minlength=len(steps) + 1).cumsum()
+            enough = np.flatnonzero(found[:-1] >= AIM * found[-1])
+            if len(enough) or grid.width > 1e6 * reach:
+                break
+            grid.width *= 1.25
+        if not len(enough):  # no width finds them
+            continue
+        grid.probes = int(enough[0]) + 1
+        met = 0
+        for t in range(TABLES):
+            codes, probes = np.sort(code(grid.cells(sample, t)[0])), grid.probed(tests, t, grid.probes)
+            met += (np.searchsorted(codes, probes, "right") - np.searchsorted(codes, probes)).sum()
+        grid.cost = met / near.size + (last > reach).mean()
+        grids.append(grid)
+    grid = min(grids, key=lambda g: g.cost) if grids else Grid(lines, shifts, 1.0, steps, len(steps), 0.0, 1.0)
+    grid.width, grid.reach = grid.width * unit, grid.reach * unit
     return grid
 
 
@@ -123,30 +171,39 @@ def nearest(
     n = rows.count()
     if not n or first is None:
         return _ranked(rows.select(F.col("id").alias("query"), "id", F.lit(0.0).alias("score")).limit(0), k, id_col)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
-    grid = fitted(matrix(sample.column("vector")), n, k)
-
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "vector").toArrow()
+    ids, vectors = sample.column("id").to_numpy(), matrix(sample.column("vector"))
     parts = max(1, -(-n // SPREAD))
-    placed = stored(rows.mapInArrow(_place(grid, parts), PLACED.format(rows.schema["vector"].dataType.simpleString())), "placed")
-    asked = stored(
-        queries.mapInArrow(_ask(grid, parts), ASKED.format(queries.schema["vector"].dataType.simpleString())), "asked"
-    )
-    found = stored(_ranked(_meet(placed, asked, k), k, id_col), "found")
-    short = found.groupBy(F.col("query_id").alias("query")).agg(F.count("*").alias("n"))
-    short = stored(
-        queries.join(short, "query", "left").filter(F.coalesce("n", F.lit(0)) < min(k, n - 1)).select("query", "vector"), "short"
-    )
-    if short.isEmpty():
-        return found
-    # the few that found too little: over all rows, in blocks
-    one = [F.lit(0).alias("table"), F.lit(0).alias("part")]
-    whole = _meet(
-        rows.select(*one, "id", "vector", F.lit(0).cast("long").alias("code")),
-        short.select(*one, "query", "vector", F.array(F.lit(0).cast("long")).alias("codes")),
-        k,
-    )
-    rest = found.join(short.select(F.col("query").alias("query_id")), "query_id", "left_anti").select(*found.columns)
-    return rest.union(_ranked(whole, k, id_col))
+    kind = rows.schema["vector"].dataType.simpleString()
+    left, done = queries, []
+    for turn in range(GRIDS):
+        tests = left.orderBy(F.xxhash64("query"), "query").limit(TESTS).toArrow()
+        if not len(tests):
+            break
+        same = tests.column("query").to_numpy()[:, None] == ids
+        grid = fitted(vectors, matrix(tests.column("vector")), same, n, k)
+        if turn and grid.cost >= 1:
+            break
+        placed = stored(rows.mapInArrow(_place(grid, parts), PLACED.format(kind)), "placed")
+        asked = stored(left.mapInArrow(_ask(grid, parts), ASKED.format(kind)), "asked")
+        found = stored(_ranked(_meet(placed, asked, k), k, id_col), "found")
+        last = found.groupBy(F.col("query_id").alias("query")).agg(F.count("*").alias("n"), F.max("score").alias("last"))
+        # those that found too little, or may have nearer rows in cells that they did not look into
+        open_ = (F.coalesce("n", F.lit(0)) < min(k, n - 1)) | (F.col("last") > grid.reach)
+        left = stored(left.join(last, "query", "left").filter(open_).select("query", "vector"), "left")
+        done.append(found.join(left.select(F.col("query").alias("query_id")), "query_id", "left_anti").select(*found.columns))
+        if left.count() <= BLOCK:
+            break
+    if not left.isEmpty():
+        # over all rows, in blocks
+        one = [F.lit(0).alias("table"), F.lit(0).alias("part")]
+        whole = _meet(
+            rows.select(*one, "id", "vector", F.lit(0).cast("long").alias("code")),
+            left.select(*one, "query", "vector", F.array(F.lit(0).cast("long")).alias("codes")),
+            k,
+        )
+        done.append(_ranked(whole, k, id_col))
+    return reduce(DataFrame.union, done)
 
 
 PLACED = "table int, part int, id long, vector {}, code long"

@@ -59,3 +59,19 @@ def test_no_rows_and_no_queries(spark):
     assert neighbours.nearest(spark.createDataFrame([], kind)).count() == 0
     assert neighbours.nearest(spark.createDataFrame([(1, [1.0])], kind)).count() == 0
     assert neighbours.nearest(spark.createDataFrame([(100, [1.0])], kind)).count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_isolated_queries_among_groups_of_near_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    r = np.random.default_rng(5)
+    copies = [c + r.normal(size=24) * 0.2 for c in r.normal(size=(20, 24)) for _ in range(120)]
+    alone = list(r.normal(size=(1_600, 24)))
+    vectors = [list(map(float, v)) for v in copies + alone]
+    pairs = list(zip(map(int, r.permutation(len(vectors))), vectors))
+    df = spark.createDataFrame(pairs, "vec_id long, embedding array<double>")
+    want, got = brute(pairs, 20, 10), answers(neighbours.nearest(df, every=20, k=10))
+    place = {i: at for at, (i, _) in enumerate(pairs)}
+    hits = {q: len({i for _, i in got[q]} & {i for _, i in want[q]}) / 10 for q in want}
+    for mine in ([q for q in want if place[q] < len(copies)], [q for q in want if place[q] >= len(copies)]):
+        assert np.mean([hits[q] for q in mine]) >= neighbours.AIM - 0.02
