@@ -43,12 +43,19 @@ ARTICLE_NAME = re.compile(r"(?:^|[\s_-])(?:article|story|post|entry)(?:[\s_-]?(?
 # Raw text ends only at its own end tag. A tag may hold '>' in quotes.
 MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|math|xmp|object)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"|<(script|style|textarea|title|xmp)(?=[\s/>])[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.I | re.S,
 )
+# Elements that are left out whole. Without an end tag they hold nothing, as does <svg/>.
+UNSHOWN = {
+    name: re.compile(
+        rf"<!--.*?(?:--!?>|\Z)|<(/?){name}(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))", re.I | re.S
+    )
+    for name in ("svg", "math", "object", "noscript", "template")
+}
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -132,6 +139,18 @@ def place_of(name: str, attributes: str, around: int) -> int:
     return around
 
 
+def ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of a name end, by where they begin; those without an end tag are not in it."""
+    begun, out = [], {}
+    for tag in UNSHOWN[name].finditer(page):
+        if tag[1]:
+            if begun:
+                out[begun.pop()] = tag.end()
+        elif tag[2] and not (name in ("svg", "math") and tag[2].endswith("/>")):
+            begun.append(tag.start())
+    return out
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """(text, words, words in links, place) of the page's text blocks, in order."""
     out: list[tuple[str, int, int, int]] = []
@@ -139,6 +158,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
     linked: list[str] = []
     stack: list[tuple[str, int]] = [("", PLAIN)]
     opened: Counter[str] = Counter()
+    unshown: dict[str, dict[int, int]] = {}
     link, at = 0, 0
 
     def end() -> None:
@@ -156,13 +176,19 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             if link:
                 linked.append(piece)
 
-    for tag in MARKUP.finditer(page):
+    while tag := MARKUP.search(page, at):
         add(page[at : tag.start()])
         at = tag.end()
         name = (tag[3] or tag[6] or "").lower()
         if not name:
             continue
         closing = bool(tag[2] or tag[5])
+        if name in UNSHOWN:
+            if not closing:
+                if name not in unshown:
+                    unshown[name] = ends(page, name)
+                at = unshown[name].get(tag.start(), at)
+            continue
         if name in ("br", "img", "wbr"):
             add(" " if name != "wbr" else "")
         elif name == "a":

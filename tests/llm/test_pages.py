@@ -48,3 +48,30 @@ def test_query_over_rows(spark):
     got = sorted(((r.page_id or 0), r.url or "", r.text, r.n_chars) for r in pages.extracted(df).collect())
     assert got == [(0, "u", "é", 1), (1, "", "", 0), (1, "u", LONG, len(LONG))]
     assert pages.extracted(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "element,inside",
+    [
+        ('<svg class="i"/>', ""),
+        ("<svg class=i/>", ""),
+        ("<svg>", ""),
+        ("<svg><title>t</title><svg>u</svg>v</svg>", ""),
+        ("<svg><!-- <svg> --><text>t</text></svg>", ""),
+        ("<svg-icon></svg-icon>", ""),
+        ("<title-card>t</title-card>", "t\n\n"),
+        ("<template-x></template-x>", ""),
+        ("<object-view></object-view>", ""),
+        ("<math/>", ""),
+        ("<object data=x>", ""),
+        ("<noscript>", ""),
+        ("<template><p>t</p></template>", ""),
+        ("<script>'<p>t</p>'</script >", ""),
+    ],
+)
+def test_text_after_elements_without_text(element, inside):
+    assert pages.main_text(f"<article><p>one</p>{element}<p>two</p></article>") == f"one\n\n{inside}two"
+
+
+def test_many_elements_without_end():
+    assert pages.main_text("<article>" + "<svg><p>x</p>" * 20_000).count("x") == 20_000
