@@ -2,8 +2,9 @@
 
 A page becomes a flat run of text blocks. A block is described by its words and the share
 of them in links, the same of the blocks before and after it, and by where the markup puts
-it: inside an element named as furniture (menus, adverts, forms, comments), inside the
-article, or neither. A decision tree over these, grown from the small labelled table
+it: inside furniture (menus, adverts, forms, comments), inside the article, or neither.
+Names and forms are weak signs, as a layout's wrapper may bear such a name: what is
+inside as many of them as most of the article is, or of the text, is not furniture. A decision tree over these, grown from the small labelled table
 below, says which blocks are main text.
 """
 
@@ -27,15 +28,22 @@ BLOCKS = frozenset(
     "nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul video".split()
 )
 VOID = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
-FURNITURE = frozenset("aside audio button canvas dialog fieldset footer form head iframe menu nav search select video".split())
+FURNITURE = frozenset("aside audio button canvas dialog fieldset footer head iframe menu nav search select video".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 # Words in class and id by which authors name furniture, and the article.
-FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|breadcrumbs?|comments?|commentlist|consent|"
+NAMES = (
+    r"(?:ads?|adverts?|advertisements?|advertising|adsense|banner|breadcrumbs?|comments?|commentlist|consent|"
     r"cookies?|copyright|disclaimer|disqus|footer|gdpr|header|login|masthead|menu|menus|modal|nav|navbar|navigation|"
     r"newsletter|notice|notification|pager|pagination|popup|promo|promoted|recommended|related|replies|reply|respond|"
     r"share|sharing|sidebar|signup|skip|social|sponsor|sponsored|subscribe|subscription|tagcloud|toolbar|topbar|"
-    r"widget|widgets)(?=$|[\s_-]|\d)",
+    r"widget|widgets)"
+)
+# Whole tokens: words around the name that say where or what it is, but not has-sidebar or sticky-header.
+FURNITURE_NAME = re.compile(
+    r"(?:^|\s)(?:(?:article|blog|bottom|desktop|entry|global|left|main|mobile|page|post|posts|primary|right|secondary|"
+    r"site|top|user)[_-]+)*"
+    rf"{NAMES}\d*(?:[_-]+(?:{NAMES}\d*|area|bar|block|body|bottom|box|button|buttons|form|icons|inner|item|items|left|"
+    r"link|links|list|message|overlay|right|section|text|thread|title|top|\d\w*))*(?=$|\s)",
     re.I,
 )
 ARTICLE_NAME = re.compile(r"(?:^|[\s_-])(?:article|story|post|entry)(?:[\s_-]?(?:body|content|text))?(?=$|\s)", re.I)
@@ -119,24 +127,40 @@ def chosen(node, row: tuple[float, ...]) -> int:
     return node
 
 
-def place_of(name: str, attributes: str, around: int) -> int:
-    """Where an element puts its text: what it says itself, or else what is around it."""
+def place_of(name: str, attributes: str, around: int) -> tuple[int, bool]:
+    """Where an element puts its text: what it says itself, or else what is around it; and
+    whether its name, or being a form, says that it is furniture."""
     if around == CHROME or name in FURNITURE:
-        return CHROME
+        return CHROME, False
     given = {}
     if "=" in attributes or "hidden" in attributes:
         given = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
     role = given.get("role", "").lower()
-    if role in ROLES or "hidden" in given or given.get("aria-hidden") == "true" or HIDDEN.search(given.get("style", "")):
-        return CHROME
+    if role in ROLES - {"form"} or "hidden" in given or given.get("aria-hidden") == "true" or HIDDEN.search(given.get("style", "")):
+        return CHROME, False
     names = f"{given.get('class', '')} {given.get('id', '')}"
-    if name not in ("body", "html", "article", "main") and FURNITURE_NAME.search(names):
-        return CHROME
-    if name in ("article", "main") or role in ("article", "main") or ARTICLE_NAME.search(names):
-        return MAIN
+    article = name in ("article", "main") or role in ("article", "main")
+    weak = name == "form" or role == "form" or bool(FURNITURE_NAME.search(names))
+    if weak and name not in ("body", "html", "main") and role != "main":
+        return PLAIN, True
+    if article or ARTICLE_NAME.search(names):
+        return MAIN, False
     if name == "header" and around != MAIN:  # a page's header, not an article's
-        return CHROME
-    return around
+        return CHROME, False
+    return around, False
+
+
+def settled(flat: list[tuple[str, int, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """The blocks without how many weak signs they are inside: those inside more than most
+    of the article is, or of the text if there is no article, are furniture."""
+    if not any(depth for *_, depth in flat):
+        return [b[:4] for b in flat]
+    said: dict[int, Counter[int]] = {MAIN: Counter(), PLAIN: Counter(), CHROME: Counter()}
+    for _, n, in_links, place, depth in flat:
+        said[place][depth] += n - in_links
+    words = said[MAIN] or said[PLAIN]
+    most = max(sorted(words), key=words.__getitem__, default=0)
+    return [(*b[:3], b[3] if b[4] <= most else CHROME) for b in flat]
 
 
 def ends(page: str, name: str) -> dict[int, int]:
@@ -153,10 +177,10 @@ def ends(page: str, name: str) -> dict[int, int]:
 
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """(text, words, words in links, place) of the page's text blocks, in order."""
-    out: list[tuple[str, int, int, int]] = []
+    out: list[tuple[str, int, int, int, int]] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int]] = [("", PLAIN)]
+    stack: list[tuple[str, int, int]] = [("", PLAIN, 0)]  # element, place, weak signs of furniture so far
     opened: Counter[str] = Counter()
     unshown: dict[str, dict[int, int]] = {}
     link, at = 0, 0
@@ -166,7 +190,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             words = html.unescape("".join(text)).split()
             if words:
                 in_links = len(html.unescape("".join(linked)).split()) if linked else 0
-                out.append((" ".join(words), len(words), min(in_links, len(words)), stack[-1][1]))
+                out.append((" ".join(words), len(words), min(in_links, len(words)), *stack[-1][1:]))
             text.clear()
             linked.clear()
 
@@ -208,16 +232,16 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
                 link = 0
                 if stack[-1][0] in ("p", "li", "dt", "dd", "option") and (name == stack[-1][0] or stack[-1][0] == "p"):
                     opened[stack.pop()[0]] -= 1
-            place = place_of(name, tag[4] or tag[7] or "", stack[-1][1])
-            if name in BLOCKS or place != stack[-1][1]:
+            place, weak = place_of(name, tag[4] or tag[7] or "", stack[-1][1])
+            if name in BLOCKS or weak or place != stack[-1][1]:
                 end()
-                stack.append((name, place))
+                stack.append((name, place, stack[-1][2] + weak))
                 opened[name] += 1
         elif name == "hr":
             end()
     add(page[at:])
     end()
-    return out
+    return settled(out)
 
 
 def main_text(page: str | None) -> str:

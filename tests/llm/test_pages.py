@@ -75,3 +75,26 @@ def test_text_after_elements_without_text(element, inside):
 
 def test_many_elements_without_end():
     assert pages.main_text("<article>" + "<svg><p>x</p>" * 20_000).count("x") == 20_000
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='layout has-sidebar'", "div class=no-sidebar", "div class=with-comments", "div class=sticky-header",
+     "div class=elementor-widget-container", "div id=sidebar", "form id=aspnetForm", "div role=form"],
+)
+def test_wrappers_named_as_furniture(wrapper):
+    end, menu, talk = f"</{wrapper.split()[0]}>", "<nav><a>Home</a></nav><div class=menu>x y z</div>", f"<div class=comments>{LONG} no</div>"
+    for tag in ("article", "main", "div class=post-content"):
+        page = f"<{wrapper}>{menu}<{tag}><p>{LONG}</p>{talk}</{tag.split()[0]}>{talk}{end}<footer>{LONG}</footer>"
+        assert pages.main_text(page) == LONG
+    assert pages.main_text(f"<{wrapper}>{menu}<p>{LONG}</p><p>{LONG} again</p>{talk}{end}") == f"{LONG}\n\n{LONG} again"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "comment-list", "cookie-notice", "ad-300x250", "widget_area", "post-comments"])
+def test_furniture_by_whole_names(name):
+    assert pages.main_text(f"<article>Text</article><div class='x {name}'><p>{LONG} {LONG}</p></div>") == "Text"
+
+
+def test_comments_that_are_articles():
+    talk = f"<div class=comments><article class='comment-body'><p>{LONG} {LONG}</p></article></div>"
+    assert pages.main_text(f"<main><p>{LONG}</p>{talk}</main>") == LONG
