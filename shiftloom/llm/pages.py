@@ -80,6 +80,18 @@ LABELLED = (
     ((5, 5, PLAIN, 0), (4, 0, PLAIN, 0), (3, 3, PLAIN, 0), (9, 9, PLAIN, 0), (25, 0, PLAIN, 1), (28, 3, PLAIN, 1)),
     ((20, 19, PLAIN, 0), (120, 5, PLAIN, 1), (18, 0, PLAIN, 1), (15, 0, PLAIN, 1), (33, 0, PLAIN, 1), (16, 14, PLAIN, 0)),
     ((2, 0, PLAIN, 0), (3, 2, PLAIN, 0), (5, 1, PLAIN, 0), (4, 3, PLAIN, 0), (30, 28, PLAIN, 0)),
+    # headings and short lines between long blocks; notices and comments without a name
+    ((2, 2, PLAIN, 0), (5, 0, PLAIN, 1), (60, 0, PLAIN, 1), (3, 0, PLAIN, 1), (80, 1, PLAIN, 1), (4, 0, PLAIN, 1), (45, 0, PLAIN, 1)),
+    ((1, 1, PLAIN, 0), (2, 0, PLAIN, 1), (20, 0, PLAIN, 1), (1, 0, PLAIN, 1), (18, 0, PLAIN, 1), (2, 0, PLAIN, 1), (17, 0, PLAIN, 1)),
+    ((11, 0, PLAIN, 0), (3, 3, PLAIN, 0), (2, 2, PLAIN, 0), (52, 3, PLAIN, 1), (5, 0, PLAIN, 1), (38, 0, PLAIN, 1), (2, 2, PLAIN, 0)),
+    ((64, 0, PLAIN, 1), (2, 2, PLAIN, 0), (14, 0, PLAIN, 0), (1, 1, PLAIN, 0), (2, 2, PLAIN, 0), (7, 0, PLAIN, 0), (1, 1, PLAIN, 0)),
+    ((16, 0, PLAIN, 0), (1, 1, PLAIN, 0), (3, 3, PLAIN, 0), (90, 2, PLAIN, 1), (1, 1, PLAIN, 0), (9, 0, PLAIN, 0), (1, 1, PLAIN, 0)),
+    ((66, 0, PLAIN, 1), (13, 0, PLAIN, 1), (2, 2, PLAIN, 0), (2, 2, PLAIN, 0), (48, 1, PLAIN, 1), (6, 0, PLAIN, 1), (3, 3, PLAIN, 0)),
+    ((5, 5, CHROME, 0), (4, 0, MAIN, 1), (6, 6, MAIN, 1), (41, 0, MAIN, 1), (8, 0, MAIN, 1), (3, 3, CHROME, 0)),
+    ((2, 2, CHROME, 0), (12, 0, MAIN, 1), (2, 2, MAIN, 1), (5, 0, MAIN, 1), (1, 1, CHROME, 0)),
+    ((50, 0, PLAIN, 1), (1, 0, PLAIN, 1), (28, 0, PLAIN, 1), (2, 2, PLAIN, 0), (1, 1, PLAIN, 0), (32, 1, PLAIN, 1), (4, 4, PLAIN, 0)),
+    ((43, 0, PLAIN, 1), (1, 0, PLAIN, 1), (10, 0, PLAIN, 1), (2, 2, PLAIN, 0), (3, 3, PLAIN, 0), (15, 0, PLAIN, 0), (2, 2, PLAIN, 0)),
+    ((30, 0, PLAIN, 1), (1, 0, PLAIN, 1), (7, 0, PLAIN, 1), (5, 5, PLAIN, 0)),
     ((35, 0, PLAIN, 1),), ((9, 0, MAIN, 1),), ((5, 5, PLAIN, 0),), ((12, 0, PLAIN, 1),), ((22, 0, CHROME, 0),),
 )
 

@@ -98,3 +98,13 @@ def test_furniture_by_whole_names(name):
 def test_comments_that_are_articles():
     talk = f"<div class=comments><article class='comment-body'><p>{LONG} {LONG}</p></article></div>"
     assert pages.main_text(f"<main><p>{LONG}</p>{talk}</main>") == LONG
+
+
+def test_short_lines_and_notices_without_article_markup():
+    menu = "<ul><li><a>Home</a><li><a>News today</a></ul>"
+    talk = "".join(f"<p><a>Some One</a></p><p>{LONG.rsplit(' ', k)[0]}</p><p><a>Reply</a></p>" for k in (4, 6))
+    lines = ["A heading", f"{LONG} {LONG}", "Why so?", f"{LONG} at once", "Because it is.", LONG, "Yes.", f"{LONG} {LONG} again"]
+    text = "".join(f"<p>{line}</p>" for line in lines)
+    page = f"<div>We use what your browser keeps on this page</div>{menu}{text}{talk}"
+    assert pages.main_text(page) == "\n\n".join(lines)
+    assert pages.main_text(f"<article><h1>A b</h1><p><a>By me</a></p><p>{LONG}</p><p>C d</p></article>{menu}") == f"A b\n\nBy me\n\n{LONG}\n\nC d"
