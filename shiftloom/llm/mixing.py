@@ -3,9 +3,11 @@
 A labelled table teaches a classifier what domain a text belongs to; every document gets a
 posterior over the domains. A rate is then fitted to each document, so that the expected
 token totals of the domains, sums of rate times tokens times posterior, match the targets
-with the least change: projected gradient descent on the squared residuals, from rates of
-one, never below zero. A round is one aggregate over the documents, of as many sums as
-there are domains. Only those sums leave the executors; a rate is an expression over the
+with little change: projected gradient descent on the squared residuals, from rates of
+one, never below zero. A step is scaled by the inverse Gram matrix of the posteriors of the
+documents whose rate is not zero, so that vague posteriors need few rounds as well; where
+that does not lower the residual it is shortened, and at last a plain step. A round is one
+aggregate over the documents, of a few sums for each pair of domains. Only those sums leave the executors; a rate is an expression over the
 document's posterior and the sums so far, so no state is kept for it.
 
 All of it is DataFrame and SQL expressions.
@@ -13,14 +15,18 @@ All of it is DataFrame and SQL expressions.
 
 from __future__ import annotations
 
+import warnings
 from math import log, sqrt
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.llm.scratch import stored
 
 BUCKETS = 1 << 15  # words are hashed to
+SHORTER = (1.0, 0.5, 0.25, 0.125)  # parts of a scaled step that are tried
+STALLED = 10  # rounds in which the residual has to fall by a hundredth
 EVIDENCE = 4.0  # standard errors by which a word's count in a domain must differ from chance
 
 
@@ -106,41 +112,85 @@ def memberships(rows: DataFrame, known: DataFrame, n: int) -> DataFrame:
     )
 
 
-def rated(members: DataFrame, weights: list[float], size: float, rounds: int = 60, near: float = 1e-5) -> DataFrame:
+def rated(members: DataFrame, weights: list[float], size: float, near: float = 1e-5) -> DataFrame:
     """The rows with rate: expected token totals are the weights' shares of ``size`` times all tokens.
 
     A domain that no document may belong to has no say. Ends when every total is within
-    ``near`` of its target, or after ``rounds``.
+    ``near`` of its target. Warns of the residual if it no longer falls before.
     """
     n = len(weights)
     mass = F.col("rows") * F.col("tokens")
     pairs = [(d, e) for d in range(n) for e in range(d, n)]
-    found = members.agg(
-        *(F.coalesce(F.sum(mass * F.col(f"p{d}")), F.lit(0.0)) for d in range(n)),
-        *(F.coalesce(F.sum(mass * F.col(f"p{d}") * F.col(f"p{e}")), F.lit(0.0)) for d, e in pairs),
-    ).first()
-    now, total = list(found[:n]), sum(found[:n])
-    goal = [size * total * w / sum(weights) for w in weights]
-    scale = [1 / sqrt(c) if c > 1e-9 * total > 0 else 0.0 for c in now]
-    gram = dict(zip(pairs, found[n:]))
-    # a bound of the largest eigenvalue of the scaled Gram matrix sets the step
-    bound = max(
-        (sum(gram[min(d, e), max(d, e)] * scale[d] * scale[e] for e in range(n)) for d in range(n)), default=0.0
+
+    def sums(rate: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Totals of the domains, and the Gram matrix of the rows whose rate is not zero."""
+        held = members.withColumn("rate", rate)
+        product = lambda d, e: F.when(F.col("rate") > 0, mass * F.col(f"p{d}") * F.col(f"p{e}"))
+        found = held.agg(
+            *(F.coalesce(F.sum(mass * F.col(f"p{d}") * F.col("rate")), F.lit(0.0)) for d in range(n)),
+            *(F.coalesce(F.sum(product(d, e)), F.lit(0.0)) for d, e in pairs),
+        ).first()
+        gram = np.zeros((n, n))
+        for (d, e), v in zip(pairs, found[n:]):
+            gram[d, e] = gram[e, d] = v
+        return np.array(found[:n], float), gram
+
+    steps, off = fitted(sums, lambda steps: _rate(steps, n), weights, size, near)
+    if off > near:
+        warnings.warn(f"totals miss their targets by {off:.2%} at most; no step brings them nearer", stacklevel=2)
+    return members.withColumn("rate", F.round(_rate(steps, n), 6))
+
+
+def _rate(steps: list[list[float]], n: int) -> Column:
+    if not steps:
+        return F.lit(1.0)
+    return F.aggregate(
+        F.array(*(F.array(*map(F.lit, step)) for step in steps)),
+        F.lit(1.0),
+        lambda rate, step: F.greatest(F.lit(0.0), rate - sum((F.col(f"p{d}") * step[d] for d in range(n)), F.lit(0.0))),
     )
+
+
+def fitted(sums, rate, weights: list[float], size: float, near: float) -> tuple[list[list[float]], float]:
+    """Steps of the domains, and by how much of its target a total is off at most.
+
+    ``sums`` gives the totals and the Gram matrix of what ``rate`` gives for steps.
+    """
+    now, gram = sums(rate([]))
+    total = now.sum()
+    goal = size * total * np.array(weights) / sum(weights)
+    scale = np.array([1 / sqrt(c) if c > 1e-9 * total > 0 else 0.0 for c in now])
+    # a bound of the largest eigenvalue of the scaled Gram matrix sets the plain step
+    bound = (gram * scale * scale[:, None]).sum(axis=1).max(initial=0.0)
+    aimed = (scale > 0) & (goal > 0)
+
+    def missed(now):
+        return float((np.abs(now - goal)[aimed] / goal[aimed]).max(initial=0.0))
+
     steps: list[list[float]] = []
-    rate: Column = F.lit(1.0)
-    for _ in range(rounds):
-        off = [(c - g) * s for c, g, s in zip(now, goal, scale)]
-        if bound == 0 or max(abs(o) * s / max(g * s * s, 1e-300) for o, g, s in zip(off, goal, scale)) <= near:
+    first = 0
+    off = (now - goal) * scale
+    fallen = [float(off @ off)]
+    while bound and (missed(now) > near or (off[~aimed] ** 2).sum() > near**2 * total):
+        values, vectors = np.linalg.eigh(gram * scale * scale[:, None])
+        fine = values > 1e-12 * bound
+        scaled = vectors[:, fine] @ ((vectors[:, fine].T @ off) / values[fine])
+        parts = SHORTER[first:] if fine.any() else ()
+        for k, step in enumerate((*(scaled * part for part in parts), off / bound)):
+            tried = [*steps, (step * scale).tolist()]
+            then, there = sums(rate(tried))
+            left = (then - goal) * scale
+            if left @ left < fallen[-1]:
+                break
+        else:
+            break
+        # where a long step failed, the next one begins a little longer than the one that did not
+        first = max(0, first + k - 1)
+        steps, now, gram, off = tried, then, there, left
+        fallen.append(float(off @ off))
+        if len(fallen) > STALLED and fallen[-1] > 0.98 * fallen[-1 - STALLED]:
             break
-        steps.append([o * s / bound for o, s in zip(off, scale)])
-        rate = F.aggregate(
-            F.array(*(F.array(*map(F.lit, step)) for step in steps)),
-            F.lit(1.0),
-            lambda rate, step: F.greatest(F.lit(0.0), rate - sum((F.col(f"p{d}") * step[d] for d in range(n)), F.lit(0.0))),
-        )
-        now = list(members.agg(*(F.sum(mass * F.col(f"p{d}") * rate) for d in range(n))).first())
-    return members.withColumn("rate", F.round(rate, 6))
+    return steps, missed(now)
 
 
 def mixed(

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from shiftloom.llm import mixing
@@ -75,3 +76,25 @@ def test_no_rows_no_labels(spark):
     assert mixing.mixed(docs.limit(0), labels, {"a": 1, "b": 1}).count() == 0
     got = mixing.mixed(docs, labels, {"a": 1, "b": 1}).collect()
     assert {x.p_a for x in got} == {0.5} and {x.rate for x in got} == {1.0}
+
+
+@pytest.mark.parametrize(
+    "spread,weights", [(3, [0.9, 0.1]), (1, [0.9, 0.1]), (0.3, [0.8, 0.2]), (0.3, [0.5, 0.3, 0.2]), (0.05, [0.63, 0.37])]
+)
+def test_vague_posteriors_match_the_targets(spark, spread, weights):
+    r = np.random.default_rng(1)
+    odds = np.exp(r.normal(size=(4_000, len(weights))) * spread + ([0.4] + [0.0] * (len(weights) - 1)))
+    rows = (odds / odds.sum(axis=1, keepdims=True)).round(9).tolist()
+    kind = ", ".join(["rows long", "tokens long", *(f"p{d} double" for d in range(len(weights)))])
+    members = spark.createDataFrame([(1, k % 200 + 1, *p) for k, p in enumerate(rows)], kind)
+    some = mixing.rated(members, weights, 1.5).collect()
+    total = sum(x.tokens for x in some)
+    assert weights[0] < max(p[0] for p in rows)
+    for d, w in enumerate(weights):
+        assert sum(x.rate * x.tokens * x[f"p{d}"] for x in some) == pytest.approx(1.5 * w * total, rel=1e-4)
+
+
+def test_targets_out_of_reach_are_said(spark):
+    members = spark.createDataFrame([(1, 10, 0.5, 0.5)] * 20, "rows long, tokens long, p0 double, p1 double")
+    with pytest.warns(UserWarning, match="miss their targets"):
+        assert mixing.rated(members, [0.9, 0.1], 1.0).count() == 20
