@@ -1,12 +1,13 @@
-"""Removal of byte strings that occur more than once, by prefix doubling at sampled places.
+"""Removal of byte strings that occur more than once, by fingerprints at sampled places.
 
-Two equal strings of ``length`` bytes are found by ranks, as in prefix doubling over a
-suffix array: a place is ranked by the string that starts there, places whose rank is
-unique drop out, and the rest are ranked anew by (rank so far, next string) at a larger
-offset, until the string reaches ``length``. Three things make this fit a corpus:
+Fingerprints of fixed lengths take the place of prefix doubling over a suffix array: no
+pairs of earlier ranks are formed, no offset is doubled and nothing is sorted. A place is
+ranked by the fingerprint of the string there, places whose rank is unique drop out, and
+the rest are ranked anew by a fingerprint of another fixed length, at last of all
+``length`` bytes. Three things make this fit a corpus:
 
-- Only equality is needed, so a rank is a fingerprint of the string, and Spark's grouping
-  of equal (rank, rank) pairs takes the place of the global sort.
+- Only equality is needed, so Spark's grouping of equal ranks takes the place of the
+  global sort.
 - Every window of ``length`` bytes has one anchor: the place of the least fingerprint of
   ``SEED`` bytes in it. Equal windows have their anchors at the same offset, so ranking
   anchors first, a hundredth of all places, loses no repeat.
