@@ -135,7 +135,7 @@ def near(
     are documents of their own. A row whose id is null links with nothing, has no
     component_id and is kept. Other columns are left out.
     """
-    return placed(docs, wide, percent, id_col, text_col).drop("hash").withColumnRenamed("id", id_col)
+    return placed(docs, wide, percent, id_col, text_col).drop("hash", "node").withColumnRenamed("id", id_col)
 
 
 def representatives(
@@ -143,11 +143,13 @@ def representatives(
 ) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest id.
 
-    Of rows with that id the one with the smallest hash of its text stays, and of equal
+    Of its rows with that id the one with the smallest hash of its text stays, and of equal
     ones the first by their other columns. Rows with a null id stay.
     """
     found = placed(docs, wide, percent, id_col, text_col).filter("component_id is not null")
-    stays = found.groupBy("component_id").agg(F.min(F.struct("id", "hash")).alias("s")).select("s.id", "s.hash")
+    # a component is its node, as unlike rows with equal ids may not be linked; rows without words are their own
+    alone = F.when(F.col("node").isNull(), F.struct("id", "hash"))
+    stays = found.groupBy("node", alone.alias("alone")).agg(F.min(F.struct("id", "hash")).alias("s")).select("s.id", "s.hash").distinct()
     own = [f"own_{k}" for k in range(len(docs.columns))]
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
@@ -162,7 +164,7 @@ def representatives(
 
 
 def placed(docs: DataFrame, wide: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """id, hash of the text, n_shingles, component_id and kept of each row."""
+    """id, hash of the text, n_shingles, component_id, kept and the component's node of each row."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = stored(signatures(rows, wide), "signatures")
@@ -178,9 +180,9 @@ def placed(docs: DataFrame, wide: int, percent: int, id_col: str, text_col: str)
     least = classes.select("node", F.col("one.id").alias("least"))
     linked = linked_classes(classes, rows, wide, percent)
     ids = linked.join(least, "node").groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(ids, "component").select("node", "component_id")
+    named = linked.join(ids, "component").select("node", "component", "component_id")
     named = least.join(named, "node", "left").select(
-        F.col("node").alias("set"), F.coalesce("component_id", "least").alias("component_id")
+        F.col("node").alias("set"), F.coalesce("component_id", "least").alias("component_id"), F.coalesce("component", "node").alias("node")
     )
     out = signed.select("id", "hash", "n_shingles", "set").join(stored(named, "named"), "set", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
@@ -190,6 +192,7 @@ def placed(docs: DataFrame, wide: int, percent: int, id_col: str, text_col: str)
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+        "node",
     )
 
 

@@ -103,3 +103,10 @@ def test_components(spark, seed):
     got = components(spark.createDataFrame(edges, "a long, b long"))
     alone = {x for x in label if sum(x in e for e in edges if e[0] != e[1]) == 0}
     assert {x.node: x.component for x in got.collect()} == {k: v for k, v in label.items() if k not in alone}
+
+
+def test_representatives_of_equal_ids_with_unlike_texts(spark):
+    a, c = " ".join(f"a{k}" for k in range(60)), " ".join(f"c{k}" for k in range(60))
+    rows = [(3, a), (5, a + " x"), (3, c), (7, ""), (7, None), (8, "")]
+    got = near.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((x.doc_id, x.text or "") for x in got.collect()) == [(3, a), (3, c), (7, ""), (8, "")]
