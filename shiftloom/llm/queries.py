@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import bpe, mixing, near, neighbours, pages, pieces, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, divergence, mixing, near, neighbours, pages, pieces, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -105,3 +105,35 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_approximate_nearest_neighbours")
 def approximate_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), every=100, k=10)
+
+
+DIVERGENCE_SQL = """WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+  words AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+  held AS (SELECT r, lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+  kept AS (SELECT lang, term FROM held GROUP BY ALL HAVING count(*) >= 10),
+  v AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+  groups AS (SELECT DISTINCT lang, source FROM docs),
+  counts AS (SELECT lang, source, term, sum(n) AS n FROM held JOIN kept USING (lang, term) GROUP BY ALL),
+  totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+  p AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+      1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)::HUGEINT) // (total + 2 * v)::HUGEINT AS p
+    FROM totals JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+  q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)::HUGEINT) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v))::HUGEINT AS q
+    FROM counts JOIN v USING (lang) GROUP BY lang, term),
+  summed AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+  terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+    FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+  SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
+@query("op13_source_divergence_audit", DIVERGENCE_SQL)
+def source_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audited(table(spark, folder, "documents"))
