@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import bpe, divergence, mixing, near, neighbours, pages, pieces, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, divergence, leaks, mixing, near, neighbours, pages, pieces, quality, repeats, shards, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -137,3 +137,9 @@ DIVERGENCE_SQL = """WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lan
 @query("op13_source_divergence_audit", DIVERGENCE_SQL)
 def source_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audited(table(spark, folder, "documents"))
+
+
+@query("op11_secret_scans")
+def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return leaks.digests(leaks.scanned(docs, leaks.fit(docs)))
