@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import bpe, divergence, leaks, mixing, near, neighbours, pages, pieces, quality, repeats, shards, vectors
+from shiftloom.llm import bpe, divergence, leaks, mixing, near, neighbours, pages, pieces, quality, repeats, shards, turns, vectors
 from shiftloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -143,3 +143,8 @@ def source_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
 def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return leaks.digests(leaks.scanned(docs, leaks.fit(docs)))
+
+
+@query("op12_conversation_structure_repair")
+def conversation_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.digests(turns.repaired(turns.damaged(table(spark, folder, "conversations"))))
