@@ -12,6 +12,11 @@ All arithmetic is on integers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
@@ -21,9 +26,8 @@ from pyspark.sql import functions as F
 from shiftloom.llm.scratch import stored
 from shiftloom.session import scratch_path
 
-#: Runs of letters: ASCII letters and everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What is no part of a term: all of ASCII but its letters.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 LARGEST = 2**31 - 1  # terms of a vocabulary: all that an index can number
 UNIT = 1_000_000_000
@@ -59,27 +63,42 @@ def audited(
     rows = docs.select(
         *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text")))
     )
-    counts, words = counted(rows, least, parts)
+    groups = rows.select("lang", "source").distinct()
+    groups = stored(groups.withColumn("group", F.row_number().over(W.orderBy("lang", "source"))), "groups")
+    counts, words = counted(rows.join(groups, ["lang", "source"]), least, parts)
     counts, words = stored(counts, "counts"), stored(words, "words")
-    sized = stored(sizes(rows.select("lang", "source").distinct(), counts, words), "sizes")
-    own = counts.join(sized, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("kept")))
+    sized = stored(sizes(groups, counts, words), "sizes")
+    own = counts.join(sized, "group").withColumn("p", share(F.col("n"), F.col("total"), F.col("kept")))
+    own = stored(own, "shares")
     return pairs(sized, own).unionByName(terms(own, words, top))
 
 
 def counted(rows: DataFrame, least: int, parts: int = 1) -> tuple[DataFrame, DataFrame]:
-    """How often each group's documents hold each kept term (lang, source, id, n), and the terms (lang, id, term).
+    """How often each group's documents hold each kept term (group, id, n), and the terms (lang, id, term).
 
     An id belongs to one term of one language.
     """
-    found = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    named = F.transform(found, lambda t: F.concat(t, F.lit(CUT), F.col("lang")))
-    fits = [fitted(rows.select("lang", "source", _of_part(named, k, parts).alias("terms")), least, k) for k in range(parts)]
+    rows = rows.select("group", "lang", "text").mapInArrow(named, "group int, terms array<string>")
+    fits = [fitted(rows.select("group", _of_part(F.col("terms"), k, parts).alias("terms")), least, k) for k in range(parts)]
     counts, words = fits[0]
     for more, others in fits[1:]:
         counts, words = counts.unionByName(more), words.unionByName(others)
     return counts, words
 
 
+def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of each text in small letters, each with its language."""
+    for batch in batches:
+        found = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), BETWEEN)
+        term, own = pc.list_flatten(found), pc.list_parent_indices(found)
+        solid = pc.greater(pc.binary_length(term), 0)
+        term, own = term.filter(solid), own.filter(solid)
+        term = pc.binary_join_element_wise(term, batch.column("lang").take(own), CUT)
+        ends = np.searchsorted(own.to_numpy(), np.arange(len(batch) + 1)).astype(np.int32)
+        terms = pa.ListArray.from_arrays(pa.array(ends), term.cast(pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column("group"), terms], names=["group", "terms"])
+
+
 def _of_part(named: Column, k: int, parts: int) -> Column:
     return named if parts == 1 else F.filter(named, lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == k)
 
@@ -94,13 +113,14 @@ def fitted(rows: DataFrame, least: int, part: int) -> tuple[DataFrame, DataFrame
         if "vocabulary size" not in str(error):
             raise
         return (  # no term is in enough documents
-            spark.createDataFrame([], "lang string, source string, id long, n long"),
+            spark.createDataFrame([], "group int, id long, n long"),
             spark.createDataFrame([], "lang string, id long, term string"),
         )
     vector = F.unwrap_udt("vector")
-    sparse = model.transform(rows).select("lang", "source", F.arrays_zip(vector["indices"], vector["values"]).alias("v"))
-    each = sparse.select("lang", "source", F.inline("v").alias("at", "n"))
-    counts = each.groupBy("lang", "source", "at").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    sparse = model.transform(rows).select("group", vector["indices"].alias("at"), vector["values"].alias("n"))
+    # vectors of a batch are added up before their entries become rows
+    each = sparse.mapInArrow(summed, "group int, at int, n long")
+    counts = each.groupBy("group", "at").agg(F.sum("n").alias("n"))
     # the saved model is a table, so that the words need not pass through Python
     path = scratch_path(spark, "vocabulary")
     model.save(path)
@@ -109,18 +129,31 @@ def fitted(rows: DataFrame, least: int, part: int) -> tuple[DataFrame, DataFrame
     words = words.select(
         F.substring("word", cut + 1, F.length("word")).alias("lang"), number, F.substring("word", F.lit(1), cut - 1).alias("term")
     )
-    return counts.select("lang", "source", number, "n"), words
+    return counts.select("group", number, "n"), words
+
+
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the sparse vectors (group, at, n) of a batch by group and entry."""
+    for batch in batches:
+        at, n = batch.column("at"), batch.column("n")
+        owner = np.asarray(pc.list_parent_indices(at))
+        group = batch.column("group").to_numpy()[owner].astype(np.int64)
+        key = group << 31 | pc.list_flatten(at).to_numpy().astype(np.int64)
+        key, place = np.unique(key, return_inverse=True)
+        total = np.bincount(place, pc.list_flatten(n).to_numpy(), len(key)).astype(np.int64)
+        columns = [(key >> 31).astype(np.int32), (key & LARGEST).astype(np.int32), total]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "at", "n"])
 
 
 def sizes(groups: DataFrame, counts: DataFrame, words: DataFrame) -> DataFrame:
-    """lang, source, total (N), kept (V) and p0, the share of a term that the group lacks."""
+    """The groups with total (N), kept (V) and p0, the share of a term that the group lacks."""
     kept = words.groupBy("lang").agg(F.count("*").alias("kept"))
-    total = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    total = counts.groupBy("group").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
     known = (
-        groups.join(total, ["lang", "source"], "left")
+        groups.join(total, "group", "left")
         .join(kept, "lang", "left")
-        .select("lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("kept", zero).alias("kept"))
+        .select("group", "lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("kept", zero).alias("kept"))
     )
     return known.withColumn("p0", F.when(F.col("kept") > 0, share(zero, F.col("total"), F.col("kept"))))
 
