@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions import texts
 from shiftloom.functions.times import interval
+from shiftloom.operators.ordered import row_numbers
 
 
 def message_order(messages: DataFrame) -> DataFrame:
     """Position of each message in its conversation, by creation time.
 
-    A conversation is a handful of rows. Messages without a time come first; those
-    without a conversation are one of their own.
+    Messages without a time come first; those without a conversation are one of their
+    own. Rows are numbered by conversation and time bucket, so a conversation may hold any
+    share of all messages.
     """
-    order = Window.partitionBy("thread_id").orderBy("created_at", "turn")
-    return messages.withColumn("position", F.row_number().over(order).cast("long"))
+    return row_numbers(messages, ["thread_id"], "created_at", "turn", "position")
 
 
 def titles(messages: DataFrame) -> DataFrame:

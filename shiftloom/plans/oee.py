@@ -26,8 +26,8 @@ def details(p: Plant, first: str = FIRST, last: str = LAST, shift: str | None =
 
 
 CONSOLIDATED = """
-WITH s AS (SELECT round_even(sum(available_min) * 1e4, 0) / 1e4 AS a, round_even(sum(productive_min) * 1e4, 0) / 1e4 AS p, round_even(sum(real_kg) * 1e4, 0) / 1e4 AS r, round_even(sum(expected_kg) * 1e4, 0) / 1e4 AS e,
-    round_even(sum(real_kg - confiscation_kg) * 1e4, 0) / 1e4 AS c FROM star_detail),
+WITH s AS (SELECT sum((available_min)::DECIMAL(38,10))::DOUBLE AS a, sum((productive_min)::DECIMAL(38,10))::DOUBLE AS p, sum((real_kg)::DECIMAL(38,10))::DOUBLE AS r, sum((expected_kg)::DECIMAL(38,10))::DOUBLE AS e,
+    sum((real_kg - confiscation_kg)::DECIMAL(38,10))::DOUBLE AS c FROM star_detail),
   k AS (SELECT *, CASE WHEN a > 0 THEN p / a ELSE 0 END AS av, CASE WHEN e > 0 THEN r / e ELSE 0 END AS pe, c / nullif(r, 0) AS qu FROM s)
 """
 CONSOLIDATED_COLUMNS = """round(a, 2) AS "TotalAvailableMin", round(p, 2) AS "TotalProductiveMin", round(r, 2) AS "TotalRealKg",
@@ -42,7 +42,7 @@ def oee_consolidated(p: Plant):
 
 @query(
     "range_enrichment",
-    f"""{CONSOLIDATED}, d AS (SELECT round_even(sum("TiempoNoProdNoProgramadoMin") * 1e4, 0) / 1e4 AS np, round_even(sum("TiempoNoProdProgramadoMin") * 1e4, 0) / 1e4 AS pr FROM detail)
+    f"""{CONSOLIDATED}, d AS (SELECT sum(("TiempoNoProdNoProgramadoMin")::DECIMAL(38,10))::DOUBLE AS np, sum(("TiempoNoProdProgramadoMin")::DECIMAL(38,10))::DOUBLE AS pr FROM detail)
     SELECT {CONSOLIDATED_COLUMNS},
       round_even(CASE WHEN round(e, 2) > 0 THEN round(r, 2) / round(e, 2) ELSE 0 END * 100 * 10, 0) / 10 AS "CumplimientoPlan_Pct",
       round_even((round(e, 2) - round(r, 2)) * 10, 0) / 10 AS "GapProduccion_Kg",
@@ -54,9 +54,9 @@ def range_enrichment(p: Plant):
 
 
 DAILY_SUMS = """
-WITH s AS (SELECT "Fecha", round_even(sum("ProductiveTimeMin") * 1e4, 0) / 1e4 AS prod, round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4 AS avail, round_even(sum("CurrentProduction") * 1e4, 0) / 1e4 AS r,
-    round_even(sum("ExpectedProduction") * 1e4, 0) / 1e4 AS e, round_even(sum({quality} / 100 * "CurrentProduction") * 1e4, 0) / 1e4 AS conf,
-    round_even(sum("TiempoNoProdNoProgramadoMin") * 1e4, 0) / 1e4 AS np_min, round_even(sum("TiempoNoProdProgramadoMin") * 1e4, 0) / 1e4 AS p_min,
+WITH s AS (SELECT "Fecha", sum(("ProductiveTimeMin")::DECIMAL(38,10))::DOUBLE AS prod, sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE AS avail, sum(("CurrentProduction")::DECIMAL(38,10))::DOUBLE AS r,
+    sum(("ExpectedProduction")::DECIMAL(38,10))::DOUBLE AS e, sum(({quality} / 100 * "CurrentProduction")::DECIMAL(38,10))::DOUBLE AS conf,
+    sum(("TiempoNoProdNoProgramadoMin")::DECIMAL(38,10))::DOUBLE AS np_min, sum(("TiempoNoProdProgramadoMin")::DECIMAL(38,10))::DOUBLE AS p_min,
     sum("ParosNoProgramadosCont")::BIGINT AS np_cnt, sum("ParosProgramadosCont")::BIGINT AS p_cnt
   FROM detail GROUP BY "Fecha"),
 k AS (SELECT *, CASE WHEN avail > 0 THEN prod / avail ELSE 0 END AS a, CASE WHEN e > 0 THEN r / e ELSE 0 END AS pe,
@@ -98,8 +98,8 @@ k AS (SELECT *, p / CASE WHEN a = 0 THEN 1 ELSE a END * 100 AS av, r / CASE WHEN
 
 @query(
     "oee_weighted",
-    f"""WITH s AS (SELECT "Fecha" AS x, round_even(sum("ProductiveTimeMin") * 1e4, 0) / 1e4 AS p, round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4 AS a, round_even(sum("CurrentProduction") * 1e4, 0) / 1e4 AS r,
-      round_even(sum("ExpectedProduction") * 1e4, 0) / 1e4 AS e, round_even(sum(coalesce("Quality", 100.0::DOUBLE) / 100 * "CurrentProduction") * 1e4, 0) / 1e4 AS c FROM detail GROUP BY 1), {WEIGHTED_TAIL}
+    f"""WITH s AS (SELECT "Fecha" AS x, sum(("ProductiveTimeMin")::DECIMAL(38,10))::DOUBLE AS p, sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE AS a, sum(("CurrentProduction")::DECIMAL(38,10))::DOUBLE AS r,
+      sum(("ExpectedProduction")::DECIMAL(38,10))::DOUBLE AS e, sum((coalesce("Quality", 100.0::DOUBLE) / 100 * "CurrentProduction")::DECIMAL(38,10))::DOUBLE AS c FROM detail GROUP BY 1), {WEIGHTED_TAIL}
     SELECT x AS "Fecha", round_even((av * pe * qu / 10000) * 1e4, 0) / 1e4 AS "OEE", round_even((av) * 1e4, 0) / 1e4 AS "Disponibilidad", round_even((pe) * 1e4, 0) / 1e4 AS "Desempeno",
       round_even((qu) * 1e4, 0) / 1e4 AS "Quality" FROM k""",
 )
@@ -109,8 +109,8 @@ def oee_weighted(p: Plant):
 
 
 REQUERY = f"""
-WITH s AS (SELECT fecha AS x, round_even(sum(productive_min) * 1e4, 0) / 1e4 AS p, round_even(sum(available_min) * 1e4, 0) / 1e4 AS a, round_even(sum(real_kg) * 1e4, 0) / 1e4 AS r, round_even(sum(expected_kg) * 1e4, 0) / 1e4 AS e,
-  round_even(sum(coalesce(quality, 0.0::DOUBLE) / 100 * real_kg) * 1e4, 0) / 1e4 AS c FROM star_detail GROUP BY 1), {WEIGHTED_TAIL}
+WITH s AS (SELECT fecha AS x, sum((productive_min)::DECIMAL(38,10))::DOUBLE AS p, sum((available_min)::DECIMAL(38,10))::DOUBLE AS a, sum((real_kg)::DECIMAL(38,10))::DOUBLE AS r, sum((expected_kg)::DECIMAL(38,10))::DOUBLE AS e,
+  sum((coalesce(quality, 0.0::DOUBLE) / 100 * real_kg)::DECIMAL(38,10))::DOUBLE AS c FROM star_detail GROUP BY 1), {WEIGHTED_TAIL}
 """
 
 
@@ -148,10 +148,10 @@ def map_back_weighted(p: Plant):
 
 @query(
     "oee_by_shift",
-    f"""WITH s AS (SELECT "Turno", round_even(sum("ProductiveTimeMin") * 1e4, 0) / 1e4 / CASE WHEN round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4 > 0 THEN round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4 ELSE 1 END AS a,
-      round_even(sum("CurrentProduction") * 1e4, 0) / 1e4 / CASE WHEN round_even(sum("ExpectedProduction") * 1e4, 0) / 1e4 > 0 THEN round_even(sum("ExpectedProduction") * 1e4, 0) / 1e4 ELSE 1 END AS pe,
-      round_even(sum(coalesce("Quality", 0.0::DOUBLE)) * 1e4, 0) / 1e4 / count(*) AS q, round_even(sum("CurrentProduction") * 1e4, 0) / 1e4 AS r, round_even(sum("ExpectedProduction") * 1e4, 0) / 1e4 AS e,
-      round_even(sum("TiempoNoProdNoProgramadoMin") * 1e4, 0) / 1e4 AS np_min, round_even(sum("TiempoNoProdProgramadoMin") * 1e4, 0) / 1e4 AS p_min,
+    f"""WITH s AS (SELECT "Turno", sum(("ProductiveTimeMin")::DECIMAL(38,10))::DOUBLE / CASE WHEN sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE > 0 THEN sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE ELSE 1 END AS a,
+      sum(("CurrentProduction")::DECIMAL(38,10))::DOUBLE / CASE WHEN sum(("ExpectedProduction")::DECIMAL(38,10))::DOUBLE > 0 THEN sum(("ExpectedProduction")::DECIMAL(38,10))::DOUBLE ELSE 1 END AS pe,
+      sum((coalesce("Quality", 0.0::DOUBLE))::DECIMAL(38,10))::DOUBLE / count(*) AS q, sum(("CurrentProduction")::DECIMAL(38,10))::DOUBLE AS r, sum(("ExpectedProduction")::DECIMAL(38,10))::DOUBLE AS e,
+      sum(("TiempoNoProdNoProgramadoMin")::DECIMAL(38,10))::DOUBLE AS np_min, sum(("TiempoNoProdProgramadoMin")::DECIMAL(38,10))::DOUBLE AS p_min,
       sum("ParosNoProgramadosCont")::BIGINT AS np_cnt, sum("ParosProgramadosCont")::BIGINT AS p_cnt FROM detail GROUP BY "Turno")
     SELECT '1995-01-01 a 2001-12-31' AS "Fecha", "Turno", format('{{:.1f}}%', a * pe * (q / 100) * 100) AS "OEE",
       format('{{:.1f}}%', a * 100) AS "Disponibilidad", format('{{:.1f}}%', pe * 100) AS "Desempeno",
@@ -188,7 +188,7 @@ def oee_shift_range_stored(p: Plant):
 
 @query(
     "oee_nodq",
-    """WITH s AS (SELECT count(exec_id) AS n, round_even(sum(available_min) * 1e4, 0) / 1e4 AS a, round_even(sum(duration_min) * 1e4, 0) / 1e4 AS d, round_even(sum(real_kg) * 1e4, 0) / 1e4 AS r, round_even(sum(expected_orig) * 1e4, 0) / 1e4 AS e FROM star_plain)
+    """WITH s AS (SELECT count(exec_id) AS n, sum((available_min)::DECIMAL(38,10))::DOUBLE AS a, sum((duration_min)::DECIMAL(38,10))::DOUBLE AS d, sum((real_kg)::DECIMAL(38,10))::DOUBLE AS r, sum((expected_orig)::DECIMAL(38,10))::DOUBLE AS e FROM star_plain)
     SELECT n AS "TotalTurnos", round_even((a) * 1e2, 0) / 1e2 AS "MinutosDisp", round_even((d) * 1e2, 0) / 1e2 AS "MinutosDur", round_even((r) * 1e2, 0) / 1e2 AS "RealKg", round_even((e) * 1e2, 0) / 1e2 AS "EsperadaKg",
       round_even((a / nullif(d, 0)) * 1e4, 0) / 1e4 AS "Disponibilidad", round_even((r / nullif(e, 0)) * 1e4, 0) / 1e4 AS "Desempeno",
       round_even((a / nullif(d, 0) * (r / nullif(e, 0))) * 1e4, 0) / 1e4 AS "OEE" FROM s""",
@@ -230,11 +230,11 @@ def business_date(p: Plant):
 @query(
     "flt_recipe",
     """SELECT * FROM (
-      SELECT 'chat_day' AS recipe, count(*) AS n, round_even((round_even(sum(real_kg) * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 AS kg FROM star_chat
-      UNION ALL SELECT 'consolidated', count(*), round_even((round_even(sum(real_kg) * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 FROM star_detail
-      UNION ALL SELECT 'no_quality', count(*), round_even((round_even(sum(real_kg) * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 FROM star_plain
-      UNION ALL SELECT 'pareto_day_off', count(*), round_even((round_even(sum(s.real_kg) * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 FROM summaries s JOIN dated d ON s.exec_id = d.exec_id WHERE NOT d.day_off
-      UNION ALL SELECT 'pareto', count(*), round_even((round_even(sum(s.real_kg) * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 FROM summaries s JOIN dated d ON s.exec_id = d.exec_id)""",
+      SELECT 'chat_day' AS recipe, count(*) AS n, round_even((sum((real_kg)::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 AS kg FROM star_chat
+      UNION ALL SELECT 'consolidated', count(*), round_even((sum((real_kg)::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 FROM star_detail
+      UNION ALL SELECT 'no_quality', count(*), round_even((sum((real_kg)::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 FROM star_plain
+      UNION ALL SELECT 'pareto_day_off', count(*), round_even((sum((s.real_kg)::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 FROM summaries s JOIN dated d ON s.exec_id = d.exec_id WHERE NOT d.day_off
+      UNION ALL SELECT 'pareto', count(*), round_even((sum((s.real_kg)::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 FROM summaries s JOIN dated d ON s.exec_id = d.exec_id)""",
 )
 def flt_recipe(p: Plant):
     def count(name: str):
@@ -333,8 +333,8 @@ def worst_shifts(p: Plant):
 
 @query(
     "kpi_fallback",
-    """SELECT round_even((avg("OEE")) * 1e4, 0) / 1e4 AS oee_promedio, round_even((round_even(sum(coalesce("CurrentProduction", 0)) * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 AS produccion_total,
-      round_even((round_even(sum("TiempoNoProdNoProgramadoMin") * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 AS paros_no_prog_min, count(*) AS turnos FROM detail""",
+    """SELECT round_even((avg("OEE")) * 1e4, 0) / 1e4 AS oee_promedio, round_even((sum((coalesce("CurrentProduction", 0))::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 AS produccion_total,
+      round_even((sum(("TiempoNoProdNoProgramadoMin")::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 AS paros_no_prog_min, count(*) AS turnos FROM detail""",
 )
 def kpi_fallback(p: Plant):
     return rounded(rounded(oee.kpi_fallback(details(p)), 4, "oee_promedio"), 2, "produccion_total", "paros_no_prog_min")
@@ -390,7 +390,7 @@ def safe_divide(p: Plant):
 @query(
     "agg_by_x",
     """SELECT 'mean' AS how, "Turno", round_even((avg("AvailableTimeMin")) * 1e4, 0) / 1e4 AS minutes, round_even((avg("CurrentProduction")) * 1e4, 0) / 1e4 AS kg FROM detail GROUP BY ALL
-    UNION ALL SELECT 'sum', "Turno", round_even((round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4) * 1e4, 0) / 1e4, round_even((round_even(sum("CurrentProduction") * 1e4, 0) / 1e4) * 1e2, 0) / 1e2 FROM detail GROUP BY ALL
+    UNION ALL SELECT 'sum', "Turno", round_even((sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE) * 1e4, 0) / 1e4, round_even((sum(("CurrentProduction")::DECIMAL(38,10))::DOUBLE) * 1e2, 0) / 1e2 FROM detail GROUP BY ALL
     UNION ALL SELECT 'max', "Turno", round_even((max("AvailableTimeMin")) * 1e4, 0) / 1e4, round_even((max("CurrentProduction")) * 1e4, 0) / 1e4 FROM detail GROUP BY ALL
     UNION ALL SELECT 'min', "Turno", round_even((min("AvailableTimeMin")) * 1e4, 0) / 1e4, round_even((min("CurrentProduction")) * 1e4, 0) / 1e4 FROM detail GROUP BY ALL""",
 )
@@ -428,12 +428,12 @@ def pct_autoscale(p: Plant):
 
 @query(
     "chart_frame",
-    f"""WITH s AS (SELECT "Fecha" AS x, round_even(sum("ProductiveTimeMin") * 1e4, 0) / 1e4 AS p, round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4 AS a, round_even(sum("CurrentProduction") * 1e4, 0) / 1e4 AS r,
-      round_even(sum("ExpectedProduction") * 1e4, 0) / 1e4 AS e, round_even(sum(coalesce("Quality", 100.0::DOUBLE) / 100 * "CurrentProduction") * 1e4, 0) / 1e4 AS c FROM detail GROUP BY 1), {WEIGHTED_TAIL},
+    f"""WITH s AS (SELECT "Fecha" AS x, sum(("ProductiveTimeMin")::DECIMAL(38,10))::DOUBLE AS p, sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE AS a, sum(("CurrentProduction")::DECIMAL(38,10))::DOUBLE AS r,
+      sum(("ExpectedProduction")::DECIMAL(38,10))::DOUBLE AS e, sum((coalesce("Quality", 100.0::DOUBLE) / 100 * "CurrentProduction")::DECIMAL(38,10))::DOUBLE AS c FROM detail GROUP BY 1), {WEIGHTED_TAIL},
       w AS (SELECT 'weighted' AS frame, cast(x AS VARCHAR) AS x, 'OEE' AS series, av * pe * qu / 10000 AS y FROM k
         UNION ALL SELECT 'weighted', cast(x AS VARCHAR), 'Disponibilidad', av FROM k),
       m AS (SELECT 'series' AS frame, cast("Fecha" AS VARCHAR) AS x, "Turno" AS series, "CurrentProduction" AS y FROM detail),
-      g AS (SELECT 'grouped', "Turno", 'AvailableTimeMin', round_even(sum("AvailableTimeMin") * 1e4, 0) / 1e4 FROM detail GROUP BY "Turno")
+      g AS (SELECT 'grouped', "Turno", 'AvailableTimeMin', sum(("AvailableTimeMin")::DECIMAL(38,10))::DOUBLE FROM detail GROUP BY "Turno")
     SELECT frame, x, series, round_even((y) * 1e4, 0) / 1e4 AS y FROM (SELECT * FROM w UNION ALL SELECT * FROM m UNION ALL SELECT * FROM g)""",
 )
 def chart_frame(p: Plant):

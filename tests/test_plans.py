@@ -6,9 +6,9 @@ from datetime import datetime
 import pytest
 from check import DATA
 
-from __spark_entry__ import queries
 from shiftloom.operators.business import RECIPES, Shifts
 from shiftloom.operators.ordered import next_value
+from shiftloom.plans import QUERIES
 from shiftloom.schemas import schema_of
 from shiftloom.sources import reads as rd
 
@@ -21,16 +21,16 @@ def plan_of(df) -> str:
 
 
 @needs_data
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, key):
-    plan = plan_of(queries()[key](spark, FOLDER))
+    plan = plan_of(QUERIES[key](spark, FOLDER))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert bad not in plan
 
 
 @needs_data
 def test_only_needed_columns_are_read(spark):
-    plan = plan_of(queries()["excursion_episodes"](spark, FOLDER))
+    plan = plan_of(QUERIES["excursion_episodes"](spark, FOLDER))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
@@ -67,5 +67,12 @@ def test_next_value_shuffles_the_rows_once(spark, tmp_path):
 def test_aggregates_do_not_sort_their_input(spark):
     if not os.path.isdir(FOLDER):
         pytest.skip("benchmark tables are not here")
-    plan = plan_of(queries()["kpi_fallback"](spark, FOLDER))
+    plan = plan_of(QUERIES["kpi_fallback"](spark, FOLDER))
     assert "rangepartitioning" not in plan
+
+
+@needs_data
+def test_no_window_over_a_whole_conversation(spark):
+    plan = plan_of(QUERIES["message_order"](spark, FOLDER))
+    windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
+    assert windows and all("_bucket" in line for line in windows)
