@@ -94,7 +94,8 @@ def count_runs(rows: DataFrame, by: list[str]) -> DataFrame:
     return begun_runs(rows, by, "_bucket", "IntervalBegin", "IntervalSeq", starts)
 
 
-def _status_rows(intervals: DataFrame) -> DataFrame:
+def status_rows(intervals: DataFrame) -> DataFrame:
+    """Line, time, sequence and clean status of the intervals."""
     return intervals.select(
         "ProductionLineId", "IntervalBegin", "IntervalSeq", status_code(F.col("IntervalProductionLineStatus")).alias("_status")
     )
@@ -110,7 +111,7 @@ def in_spans(intervals: DataFrame, spans: DataFrame, reach: DataFrame | None = N
     """
     spans = spans.where(F.col("_to") > F.col("_from"))
     days = F.sequence(F.to_date("_from"), F.to_date("_to"))
-    rows = _status_rows(intervals)
+    rows = status_rows(intervals)
     if reach is not None:
         ends = reach.agg(F.struct(F.min("_from").alias("a"), F.max("_to").alias("b")).alias("ends")).scalar()
         rows = rows.where((F.col("IntervalBegin") >= ends["a"]) & (F.col("IntervalBegin") < ends["b"]))
@@ -282,7 +283,7 @@ def shift_day(
 def status_stops(intervals: DataFrame) -> DataFrame:
     """Stops read off the intervals: a US or SS row lasts until the line's next row."""
     followed = next_value(
-        _status_rows(intervals), ["ProductionLineId"], "IntervalBegin", "IntervalSeq", "IntervalBegin", "EndDate"
+        status_rows(intervals), ["ProductionLineId"], "IntervalBegin", "IntervalSeq", "IntervalBegin", "EndDate"
     )
     return followed.where(F.col("_status").isin(UNSCHEDULED, SCHEDULED) & F.col("EndDate").isNotNull()).select(
         "ProductionLineId",

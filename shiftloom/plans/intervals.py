@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shiftloom.functions.texts import status_code, status_label
 from shiftloom.operators import intervals as ops
+from shiftloom.operators import sweep
 from shiftloom.operators import stops
 from shiftloom.operators.business import RECIPES, Shifts, shift_star
 from shiftloom.plans.oracle import duration_text, minutes_text, pareto_columns
@@ -112,6 +113,29 @@ def join_interval_exec(p: Plant):
     )
 
 
+@query("join_interval_exec_sweep", "SELECT exec_id, line_id, t, seq, status FROM interval_exec")
+def join_interval_exec_sweep(p: Plant):
+    rows = sweep.in_execution(p.intervals(), plant_star(p))
+    return rows.select(
+        F.col("WorkShiftExecutionId").alias("exec_id"),
+        F.col("ProductionLineId").alias("line_id"),
+        F.col("IntervalBegin").alias("t"),
+        F.col("IntervalSeq").alias("seq"),
+        F.col("_status").alias("status"),
+    )
+
+
+@query("transition_count_sweep", "SELECT exec_id, line_id, np_runs, p_runs FROM exec_counts WHERE np_runs + p_runs > 0")
+def transition_count_sweep(p: Plant):
+    counts = sweep.shift_counts(p.intervals(), plant_star(p))
+    return counts.where("ParosNoProgramadosCont + ParosProgramadosCont > 0").select(
+        F.col("WorkShiftExecutionId").alias("exec_id"),
+        F.col("ProductionLineId").alias("line_id"),
+        F.col("ParosNoProgramadosCont").alias("np_runs"),
+        F.col("ParosProgramadosCont").alias("p_runs"),
+    )
+
+
 SHIFT_DAY = """SELECT e.turno AS "Turno", e.fecha AS "Fecha", s.line_id AS "ProductionLineId", oee AS "OEE", a AS "Disponibilidad", p AS "Desempeno", q AS "Producto Conforme",
   np_runs AS "ParosNoProgramadosCont", n * 3 AS "TiempoNoProdNoProgramadoMin", p_runs AS "ParosProgramadosCont",
   30.0::DOUBLE AS "TiempoNoProdProgramadoMin", 480.0::DOUBLE AS "DuracionTurnoMin", 450.0::DOUBLE AS "TiempoDisponibleMin",
