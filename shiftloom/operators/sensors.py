@@ -62,8 +62,12 @@ def summary(reads: DataFrame, catalog: DataFrame) -> DataFrame:
         F.min("Value").alias("min_value"),
         F.max("Value").alias("max_value"),
     )
-    named = with_names(per_sensor, catalog)
-    return named.select(
+    return named_summary(per_sensor, catalog)
+
+
+def named_summary(per_sensor: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Counts, mean and extremes of each sensor with its share of reads that are out, and its name; worst first."""
+    return with_names(per_sensor, catalog).select(
         "var_id",
         "name",
         "device",

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from shiftloom.functions.texts import slug, translate_name
 from shiftloom.functions.times import date_spine
 from shiftloom.operators import catalog as cat
-from shiftloom.operators import charts, sensors, stops
+from shiftloom.operators import charts, sensors, states, stops
 from shiftloom.operators import intervals as iv
 from shiftloom.operators.bundle import day_bundle
 from shiftloom.plans.intervals import plant_shifts, plant_star
 from shiftloom.plans.oracle import pareto_columns
 from shiftloom.plans.registry import EVENT_FIRST, EVENT_LAST, query, rounded
 from shiftloom.sources import reads as rd
+from shiftloom.session import scratch_path
 from shiftloom.sources.bindings import Plant
 
 SUMMARY = "SELECT var_id, name, device, points, out_points, out_pct, avg_value, min_value, max_value FROM summary"
@@ -338,6 +339,33 @@ def src_range(p: Plant):
     return sensors.critical_reads(rd.load_reads(p.spark, p.reads_path(), EVENT_FIRST, EVENT_LAST), p.catalog())
 
 
+STATES_FIRST, STATES_LAST = "2024-01-10", "2024-02-05"
+
+
+def stored_states(p: Plant):
+    target = scratch_path(p.spark, "states")
+    states.refresh(p.spark, p.reads_path(), target)
+    return states.stored_states(p.spark, target)
+
+
+@query("sensor_summary_states", SUMMARY)
+def sensor_summary_states(p: Plant):
+    return states.merged(stored_states(p), p.catalog())
+
+
+@query(
+    "sensor_summary_states_range",
+    f"""SELECT g.var_id, coalesce(c.name, g.var_id) AS name, coalesce(c.device, '') AS device, points, out_points,
+      round_even(CASE WHEN points > 0 THEN out_points::DOUBLE / points END * 100 * 100, 0) / 100 AS out_pct,
+      round_even(avg_value * 1000, 0) / 1000 AS avg_value, min_value, max_value
+    FROM (SELECT var_id, count(value) AS points, count(*) FILTER (WHERE is_out) AS out_points, avg(value) AS avg_value,
+        min(value) AS min_value, max(value) AS max_value FROM flagged WHERE day BETWEEN DATE '{STATES_FIRST}' AND DATE '{STATES_LAST}' GROUP BY var_id) g
+      LEFT JOIN critical c ON c.var_id = g.var_id""",
+)
+def sensor_summary_states_range(p: Plant):
+    return states.merged(stored_states(p), p.catalog(), STATES_FIRST, STATES_LAST)
+
+
 UNION = "SELECT var_id, seq, value, day, shift FROM reads"
 
 
