@@ -232,12 +232,9 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: st
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [
-                model.scores(*indicators(offsets, data), stop - row) >= threshold
-                for row, stop, offsets, data in slices(batch.column(text_col))
-            ]
-            if parts:
-                yield batch.filter(pa.array(np.concatenate(parts)))
+            for row, stop, offsets, data in slices(batch.column(text_col)):
+                good = model.scores(*indicators(offsets, data), stop - row) >= threshold
+                yield batch.slice(row, stop - row).filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -47,12 +47,16 @@ class Family:
         return (sums[stops] - sums[starts]) * self.inverse[starts]
 
 
+KEPT = 3  # families that a worker keeps, as many as one operator uses in a task; each takes 17 MB
+
 _families: dict[int, Family] = {}
 
 
 def family(seed: int) -> Family:
-    """The family of this seed; made once in each worker."""
+    """The family of this seed. A worker serves several operators in turn: the oldest families go."""
     if seed not in _families:
+        while len(_families) >= KEPT:
+            del _families[next(iter(_families))]
         _families[seed] = Family(seed)
     return _families[seed]
 

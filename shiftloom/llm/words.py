@@ -26,6 +26,8 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         stop = max(row + 1, min(row + ROWS, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1))
         yield row, stop, offsets[row : stop + 1] - offsets[row], data[offsets[row] : offsets[stop]]
         row = stop
+    # workers live on: what earlier batches took goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
