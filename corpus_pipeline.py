@@ -63,8 +63,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Rows and bytes of the batches that Python workers get. Each worker holds a few batches, with
+#: whole texts in several columns, so small ones bound its memory; texts longer than a batch come alone.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+    """All stages over the documents of a folder. Sets ``BATCHES`` for the session, as the last stage runs later."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
