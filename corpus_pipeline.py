@@ -66,8 +66,8 @@ ORACLE_SQL = None
 #: Rows and bytes of the batches that Python workers get. Each worker holds a few batches, with
 #: whole texts in several columns, so small ones bound its memory; texts longer than a batch come alone.
 BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
