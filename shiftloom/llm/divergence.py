@@ -24,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftloom.llm.scratch import stored
+from shiftloom.llm.words import slices
 from shiftloom.session import scratch_path
 
 #: What is no part of a term: all of ASCII but its letters.
@@ -87,16 +88,18 @@ def counted(rows: DataFrame, least: int, parts: int = 1) -> tuple[DataFrame, Dat
 
 
 def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Terms of each text in small letters, each with its language."""
+    """Terms of each text in small letters, each with its language, a bounded slice of whole texts at a time."""
     for batch in batches:
-        found = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), BETWEEN)
-        term, own = pc.list_flatten(found), pc.list_parent_indices(found)
-        solid = pc.greater(pc.binary_length(term), 0)
-        term, own = term.filter(solid), own.filter(solid)
-        term = pc.binary_join_element_wise(term, batch.column("lang").take(own), CUT)
-        ends = np.searchsorted(own.to_numpy(), np.arange(len(batch) + 1)).astype(np.int32)
-        terms = pa.ListArray.from_arrays(pa.array(ends), term.cast(pa.string()))
-        yield pa.RecordBatch.from_arrays([batch.column("group"), terms], names=["group", "terms"])
+        for row, stop, _, _ in slices(batch.column("text")):
+            part = batch.slice(row, stop - row)
+            found = pc.split_pattern_regex(pc.ascii_lower(part.column("text")), BETWEEN)
+            term, own = pc.list_flatten(found), pc.list_parent_indices(found)
+            solid = pc.greater(pc.binary_length(term), 0)
+            term, own = term.filter(solid), own.filter(solid)
+            term = pc.binary_join_element_wise(term, part.column("lang").take(own), CUT)
+            ends = np.searchsorted(own.to_numpy(), np.arange(len(part) + 1)).astype(np.int32)
+            terms = pa.ListArray.from_arrays(pa.array(ends), term.cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([part.column("group"), terms], names=["group", "terms"])
 
 
 def _of_part(named: Column, k: int, parts: int) -> Column:
@@ -132,17 +135,30 @@ def fitted(rows: DataFrame, least: int, part: int) -> tuple[DataFrame, DataFrame
     return counts.select("group", number, "n"), words
 
 
+ENTRIES = 1 << 19  # of vectors that are added up at once; a longer vector is taken whole
+
+
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors (group, at, n) of a batch by group and entry."""
+    """Sums of the sparse vectors (group, at, n) by group and entry, a bounded slice of a batch at a time."""
     for batch in batches:
-        at, n = batch.column("at"), batch.column("n")
-        owner = np.asarray(pc.list_parent_indices(at))
-        group = batch.column("group").to_numpy()[owner].astype(np.int64)
-        key = group << 31 | pc.list_flatten(at).to_numpy().astype(np.int64)
-        key, place = np.unique(key, return_inverse=True)
-        total = np.bincount(place, pc.list_flatten(n).to_numpy(), len(key)).astype(np.int64)
-        columns = [(key >> 31).astype(np.int32), (key & LARGEST).astype(np.int32), total]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "at", "n"])
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch.column("at")), 0).to_numpy())])
+        row = 0
+        while row < len(batch):
+            stop = max(row + 1, int(np.searchsorted(ends, ends[row] + ENTRIES, "right")) - 1)
+            yield _summed(batch.slice(row, stop - row))
+            row = stop
+        pa.default_memory_pool().release_unused()
+
+
+def _summed(part: pa.RecordBatch) -> pa.RecordBatch:
+    at, n = part.column("at"), part.column("n")
+    owner = np.asarray(pc.list_parent_indices(at))
+    group = part.column("group").to_numpy()[owner].astype(np.int64)
+    key = group << 31 | pc.list_flatten(at).to_numpy().astype(np.int64)
+    key, place = np.unique(key, return_inverse=True)
+    total = np.bincount(place, pc.list_flatten(n).to_numpy(), len(key)).astype(np.int64)
+    columns = [(key >> 31).astype(np.int32), (key & LARGEST).astype(np.int32), total]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "at", "n"])
 
 
 def sizes(groups: DataFrame, counts: DataFrame, words: DataFrame) -> DataFrame:
