@@ -88,3 +88,40 @@ def test_ties_follow_the_bytes_of_the_item(spark):
 @given(st.lists(st.tuples(st.integers(0, 5), st.text("aBcé 1", max_size=12), st.sampled_from([None, "en", "de"]), st.sampled_from("pqr")), max_size=12))
 def test_any_rows(spark, rows):
     assert found(spark, rows, least=2, top=2) == plain(rows, 2, 2)
+
+
+def test_slices_of_a_batch_add_up_to_it(monkeypatch):
+    import pyarrow as pa
+
+    lists = [[0, 2], [], [1, 2, 5], [2], None, [0], [5, 6, 7, 8]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 1, 2, 2, 2, 1, 3], pa.int32()), pa.array(lists, pa.list_(pa.int32())),
+         pa.array([None if v is None else [float(x + 1) for x in v] for v in lists], pa.list_(pa.float64()))],
+        names=["group", "at", "n"],
+    )
+    want = Counter()
+    for g, v in zip([1, 1, 2, 2, 2, 1, 3], lists):
+        want.update({(g, x): x + 1 for x in v or []})
+    for entries in (1, 3, 100):
+        monkeypatch.setattr(divergence, "ENTRIES", entries)
+        got = Counter()
+        for part in divergence.summed(iter([batch])):
+            got.update({(g, a): n for g, a, n in zip(*(c.to_pylist() for c in part.columns))})
+        assert got == want
+
+
+def test_slices_of_texts(monkeypatch):
+    import pyarrow as pa
+
+    from shiftloom.llm import words
+
+    texts = ["Red RED é1", "", "7", "x " * 50, "last É"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5), pa.int32()), pa.array(["en", "de", "", "en", "fr"]), pa.array(texts)], names=["group", "lang", "text"]
+    )
+    monkeypatch.setattr(words, "SLICE", 8)
+    got = [r for part in divergence.named(iter([batch])) for r in part.to_pylist()]
+    assert [r["group"] for r in got] == list(range(5))
+    assert [r["terms"] for r in got] == [
+        ["red\0en", "red\0en", "é\0en"], [], [], ["x\0en"] * 50, ["last\0fr", "É\0fr"],
+    ]
