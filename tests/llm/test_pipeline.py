@@ -91,4 +91,4 @@ def test_run_is_the_stages_in_order(spark, folder):
 
 def test_registered_queries():
     names = [k for k in queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
