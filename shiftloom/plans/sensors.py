@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shiftloom.functions.texts import slug, translate_name
 from shiftloom.functions.times import date_spine
 from shiftloom.operators import catalog as cat
-from shiftloom.operators import charts, sensors, states, stops
+from shiftloom.operators import charts, matching, quantiles, sensors, states, stops
 from shiftloom.operators import intervals as iv
 from shiftloom.operators.bundle import day_bundle
 from shiftloom.plans.intervals import plant_shifts, plant_star
@@ -117,6 +117,29 @@ def sensor_median_band(p: Plant):
     return sensors.median_band(p.reads())
 
 
+QUANTILES = (0.05, 0.5, 0.95)
+
+
+@query(
+    "sensor_value_quantiles",
+    f"""SELECT var_id, q::DOUBLE AS quantile, count(value) AS n, CASE q {' '.join(f'WHEN {x} THEN round_even(quantile_cont(value, {x}) * 1e6, 0) / 1e6' for x in QUANTILES)} END AS value
+    FROM reads, (SELECT unnest({list(QUANTILES)}) AS q) WHERE value IS NOT NULL GROUP BY var_id, q""",
+)
+def sensor_value_quantiles(p: Plant):
+    reads = p.reads().select(F.lower("ProductionLineControlVariableId").alias("var_id"), F.col("Value").alias("value"))
+    return rounded(quantiles.quantiles(reads, "var_id", "value", list(QUANTILES)), 6, "value")
+
+
+@query(
+    "sensor_median_band_unique",
+    """SELECT var_id, round_even(median(lo + seq / 1024) * 1e6, 0) / 1e6 AS band_min, round_even(median(hi - seq / 4096) * 1e6, 0) / 1e6 AS band_max FROM reads GROUP BY var_id""",
+)
+def sensor_median_band_unique(p: Plant):
+    """Limits that hardly ever repeat, as those of a control loop that adapts them."""
+    drift = {"CriticalMinValue": F.expr("CriticalMinValue + ReadSeq / 1024D"), "CriticalMaxValue": F.expr("CriticalMaxValue - ReadSeq / 4096D")}
+    return rounded(quantiles.median_band(p.reads().withColumns(drift)), 6, "band_min", "band_max")
+
+
 @query(
     "is_out_median_band",
     """SELECT r.seq, r.var_id, coalesce(value < band_min, false) OR coalesce(value > band_max, false) AS is_out
@@ -253,6 +276,24 @@ def match_catalog_fuzzy(p: Plant):
     return charts.union_all(found).select("query", "var_id", "name", "device", "exact", "score")
 
 
+# Requests for sensors by id and by words, one for each part.
+REQUEST = "CASE p_partkey % 4 WHEN 0 THEN ' var-' || p_partkey || ' ' WHEN 1 THEN upper(p_name) || ', por favor' WHEN 2 THEN p_type || ': ' || p_name || ' zinc' ELSE p_brand END"
+
+
+@query(
+    "match_requests",
+    f"""WITH q AS (SELECT p_partkey AS request, {REQUEST} AS q FROM part), s AS (SELECT DISTINCT q FROM q),
+      k AS (SELECT q, s2.*, var_id = upper(trim(q)) AS exact, len({SHARED})::INT AS score FROM s, sensors s2),
+      best AS (SELECT q, var_id, name, device, exact, score FROM k WHERE exact OR score >= 1
+        QUALIFY row_number() OVER (PARTITION BY q ORDER BY exact DESC, score DESC, is_critical DESC, device, name, var_id) = 1)
+    SELECT request, var_id, name, device, exact, score FROM q JOIN best USING (q)""",
+)
+def match_requests(p: Plant):
+    requests = p.raw("part").selectExpr("p_partkey AS request", f"{REQUEST} AS text")
+    found = matching.find_sensors(p.catalog(), requests, "text")
+    return found.select("request", "var_id", "name", "device", "exact", "score")
+
+
 @query(
     "token_intersection",
     f"""SELECT var_id, array_to_string(list_sort({SHARED}), ' ') AS shared_words FROM sensors, (SELECT 'red ring SMALL bolt' AS q)""",
