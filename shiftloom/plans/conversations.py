@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from shiftloom.functions import texts
 from shiftloom.operators import conversations as ops
 from shiftloom.plans.registry import query
+from shiftloom.session import scratch_path
+from shiftloom.sources import retention
 from shiftloom.sources.bindings import Plant
 
 NOW = "2024-02-20 00:00:00"
@@ -43,6 +47,26 @@ def thread_retention(p: Plant):
     return threads.join(counts, "thread_id").select("thread_id", "user_name", "created_at", "messages")
 
 
+@query(
+    "thread_retention_months",
+    f"""SELECT t.thread_id, strftime(t.created_at, '%Y-%m') AS month, count(m.turn) AS messages FROM threads t LEFT JOIN messages m ON t.thread_id = m.thread_id
+    WHERE t.created_at >= TIMESTAMP '{NOW}' - INTERVAL 30 DAY GROUP BY ALL
+    UNION ALL SELECT NULL, 'orphans', count(*) FILTER (WHERE thread_id NOT IN (SELECT thread_id FROM threads)) FROM messages""",
+)
+def thread_retention_months(p: Plant):
+    """Conversations left in the stored tables after one run, and messages left whose conversation is not."""
+    paths = [scratch_path(p.spark, name) for name in ("threads", "messages")]
+    retention.write_months(p.threads(), p.messages(), *paths)
+    retention.expire(p.spark, *paths, datetime.fromisoformat(NOW))
+    threads, messages = (retention.read_months(p.spark, path) for path in paths)
+    counts = messages.groupBy("thread_id").agg(F.count("*").alias("messages"))
+    kept = threads.join(counts, "thread_id", "left").select(
+        "thread_id", F.col("Month").alias("month"), F.coalesce("messages", F.lit(0).cast("long")).alias("messages")
+    )
+    left = messages.join(threads, "thread_id", "left_anti").agg(F.count("*").alias("messages"))
+    return kept.unionByName(left.select(F.lit(None).cast("string").alias("thread_id"), F.lit("orphans").alias("month"), "messages"))
+
+
 # Endings that make the intent rules fire on some turns of each conversation.
 ENDINGS = (
     " ¿Cuál es el OEE actual?",
