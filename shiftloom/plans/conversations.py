@@ -56,9 +56,10 @@ def thread_retention(p: Plant):
 def thread_retention_months(p: Plant):
     """Conversations left in the stored tables after one run, and messages left whose conversation is not."""
     paths = [scratch_path(p.spark, name) for name in ("threads", "messages")]
-    retention.write_months(p.threads(), p.messages(), *paths)
+    tables = p.threads(), p.messages()
+    retention.write_months(*tables, *paths)
     retention.expire(p.spark, *paths, datetime.fromisoformat(NOW))
-    threads, messages = (retention.read_months(p.spark, path) for path in paths)
+    threads, messages = (retention.read_months(p.spark, path, df.schema) for path, df in zip(paths, tables))
     counts = messages.groupBy("thread_id").agg(F.count("*").alias("messages"))
     kept = threads.join(counts, "thread_id", "left").select(
         "thread_id", F.col("Month").alias("month"), F.coalesce("messages", F.lit(0).cast("long")).alias("messages")

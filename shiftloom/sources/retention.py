@@ -16,6 +16,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Month of threads without a creation time and of messages without a stored thread; these stay.
 NO_MONTH = "none"
@@ -36,10 +37,16 @@ def _write(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "Month").write.partitionBy("Month").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
-def read_months(spark: SparkSession, path: str) -> DataFrame:
-    """A table of ``write_months``, with its months as text."""
-    df = spark.read.parquet(path)
-    return df.withColumn("Month", F.col("Month").cast("string"))
+def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of ``write_months`` with its months as text; ``schema`` is that of its rows, as no file may be left."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("Month", T.StringType())])).parquet(path)
+
+
+def _month(spark: SparkSession, path: str, month: str) -> DataFrame | None:
+    """The rows of one month, none where nothing is stored of it."""
+    if month not in dict(_months(spark, path)):
+        return None
+    return spark.read.parquet(path).withColumn("Month", F.col("Month").cast("string")).where(F.col("Month") == month)
 
 
 def expire(spark: SparkSession, threads_path: str, messages_path: str, now: datetime, days: int = 30) -> list[str]:
@@ -51,13 +58,12 @@ def expire(spark: SparkSession, threads_path: str, messages_path: str, now: date
     limit = now - timedelta(days=days)
     own = f"{limit:%Y-%m}"
     changed = set()
-    threads = read_months(spark, threads_path).where(F.col("Month") == own)
+    threads, messages = (_month(spark, path, own) for path in (threads_path, messages_path))
     old = F.col("created_at") < F.lit(limit).cast("timestamp_ntz")
-    expired = threads.where(old).select("thread_id")
-    split = not expired.isEmpty()
+    split = threads is not None and not threads.where(old).isEmpty()
     if split:
-        messages = read_months(spark, messages_path).where(F.col("Month") == own)
-        _replace(messages, messages.join(expired, "thread_id", "left_anti"), messages_path)
+        if messages is not None:
+            _replace(messages, messages.join(threads.where(old).select("thread_id"), "thread_id", "left_anti"), messages_path)
         changed.add(own)
     for path in (messages_path, threads_path):
         for month, folder in _months(spark, path):

@@ -32,7 +32,8 @@ def files(path):
 
 
 def content(spark, path):
-    return sorted((tuple(r) for r in months.read_months(spark, path).drop("Month").collect()), key=repr)
+    schema = tables(spark)[path.endswith("messages")].schema
+    return sorted((tuple(r) for r in months.read_months(spark, path, schema).drop("Month").collect()), key=repr)
 
 
 @pytest.fixture
@@ -89,3 +90,14 @@ def test_a_month_that_nothing_stays_of(spark, stored):
     months.expire(spark, *paths, datetime(2026, 4, 30))
     assert {r[0] for r in content(spark, paths[0])} == {"t7"}
     assert {r[0] for r in content(spark, paths[1])} == {"t7", "unknown", None}
+
+
+def test_empty_tables_and_tables_that_nothing_stays_of(spark, tmp_path):
+    threads, messages = tables(spark)
+    begun = threads.where("created_at IS NOT NULL")
+    own = messages.join(begun, "thread_id", "left_semi")
+    for name, rows in (("a", (threads.limit(0), messages.limit(0))), ("b", (begun, own)), ("c", (begun, own.limit(0)))):
+        paths = str(tmp_path / f"{name}-threads"), str(tmp_path / f"{name}-messages")
+        months.write_months(*rows, *paths)
+        months.expire(spark, *paths, datetime(2027, 1, 1))
+        assert [content(spark, p) for p in paths] == [[], []]
