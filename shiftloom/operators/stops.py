@@ -9,6 +9,7 @@ from shiftloom.functions.numbers import round_py
 from shiftloom.functions.texts import clip_label
 from shiftloom.functions.times import int_avg, seconds_between
 from shiftloom.operators.business import Shifts
+from shiftloom.operators.prefix import running_sums
 
 # Fixed value: label of stops without a motive or a motive type.
 UNCLASSIFIED = "Sin Clasificar"
@@ -57,14 +58,18 @@ def reason_totals(
 
 def reasons(totals: DataFrame) -> DataFrame:
     """All reasons in report columns. Groups stay apart even where their labels agree."""
-    return totals.select(
+    return totals.select(*_report_columns())
+
+
+def _report_columns() -> list[Column]:
+    return [
         F.coalesce("TypeName", F.lit(UNCLASSIFIED)).alias("Tipo_General"),
         F.coalesce("MotiveName", F.lit(UNCLASSIFIED)).alias("Motivo_Particular"),
         F.coalesce("StoppageType", "Type").alias("Clasificacion"),
         (F.col("seconds") / 60.0).alias("Duracion_Min"),
         F.col("events").alias("Eventos"),
         (int_avg(F.col("seconds"), F.col("timed")) / 60.0).alias("Duracion_Promedio_Min"),
-    )
+    ]
 
 
 def pareto(totals: DataFrame, top: int) -> DataFrame:
@@ -104,6 +109,27 @@ def share(reasons: DataFrame) -> DataFrame:
     )
 
 
+def share_of_all(totals: DataFrame, parts: int | None = None) -> DataFrame:
+    """All reasons with their share and running share of all stop time, without a TOP n.
+
+    ``totals`` are those of :func:`reason_totals`, in the order of :func:`pareto`. Sums are
+    over whole seconds; a reason without a timed stop has a share of 0, and so have all
+    reasons where nothing was timed.
+    """
+    order = [
+        F.desc_nulls_last("seconds"),
+        *[F.asc_nulls_first(c) for c in ("TypeName", "MotiveName", "StoppageType", "Type")],
+    ]
+    summed = running_sums(totals, order, "seconds", "_running", "_total", parts)
+    whole, running = F.col("_total").cast("double"), F.col("_running").cast("double")
+    seconds = F.coalesce("seconds", F.lit(0)).cast("double")
+    shares = [
+        F.when(whole > 0, round_py(part / whole * 100, 1)).otherwise(0.0).alias(name)
+        for part, name in ((seconds, "Pct_Total"), (running, "Pct_Acumulado"))
+    ]
+    return summed.select(*_report_columns(), *shares)
+
+
 def vital_few(shared: DataFrame, limit: float = 80.0) -> DataFrame:
     return shared.where(F.col("Pct_Acumulado") <= limit)
 

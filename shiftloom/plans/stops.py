@@ -69,6 +69,22 @@ def pareto_80(p: Plant):
     return stops.vital_few(stops.share(pareto(p, 50)))
 
 
+SHARE_ALL = f"""WITH s AS (SELECT *, sum(seconds) OVER ()::DOUBLE AS total,
+    coalesce(sum(seconds) OVER (ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING), 0)::DOUBLE AS run FROM reasons),
+  r AS (SELECT {pareto_columns()}, CASE WHEN total > 0 THEN round_even(coalesce(seconds, 0)::DOUBLE / total * 100 * 10, 0) / 10 ELSE 0.0 END AS "Pct_Total",
+    CASE WHEN total > 0 THEN round_even(run / total * 100 * 10, 0) / 10 ELSE 0.0 END AS "Pct_Acumulado" FROM s)"""
+
+
+@query("pareto_share_all", f"{SHARE_ALL} SELECT * FROM r")
+def pareto_share_all(p: Plant):
+    return stops.share_of_all(totals(p))
+
+
+@query("pareto_80_all", f'{SHARE_ALL} SELECT * FROM r WHERE "Pct_Acumulado" <= 80')
+def pareto_80_all(p: Plant):
+    return stops.vital_few(stops.share_of_all(totals(p)))
+
+
 @query(
     "pareto_np_chart",
     f"""WITH t AS (SELECT {pareto_columns()} FROM pareto20),
