@@ -278,8 +278,13 @@ def likely(a: str, b: str, percent: int) -> Column:
 
 
 def apart(a: Column, b: Column) -> Column:
-    """Bits in which two odd sketches differ."""
-    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(WORDS)), F.lit(0))
+    """Bits in which two odd sketches differ.
+
+    A loop over the words: written out, the words of two sketches make a method of generated
+    code that is too long for the JVM to compile, and every pair is interpreted.
+    """
+    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, wide: int, percent: int) -> DataFrame:

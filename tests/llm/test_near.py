@@ -4,6 +4,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from shiftloom.llm import near
 from shiftloom.llm.components import components
 
@@ -110,3 +112,12 @@ def test_representatives_of_equal_ids_with_unlike_texts(spark):
     rows = [(3, a), (5, a + " x"), (3, c), (7, ""), (7, None), (8, "")]
     got = near.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((x.doc_id, x.text or "") for x in got.collect()) == [(3, a), (3, c), (7, ""), (8, "")]
+
+
+def test_bits_apart_are_counted_in_a_loop(spark):
+    random = np.random.default_rng(3)
+    x, y = random.integers(-(2**63), 2**63, (2, 20, near.WORDS))
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x array<long>, y array<long>").select(near.apart(F.col("x"), F.col("y")))
+    assert [r[0] for r in df.collect()] == np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=1).tolist()
+    # written out, the method of a join on pairs is too long for the JVM to compile
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("bit_count") < near.WORDS
