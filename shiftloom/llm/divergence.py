@@ -1,9 +1,9 @@
 """Divergence of sources: how far each source's words are from those of its language's others.
 
-Documents become exact sparse count vectors by ``CountVectorizer``: a language keeps the
-terms that enough of its documents hold, with no limit on their number. A term carries its
-language, so that one fit gives every language its own vocabulary. The vectors are summed
-by group without making any of them dense, and pairs of groups are compared on the terms
+Documents become exact sparse count vectors, over the terms of a bundle of documents: a
+language keeps the terms that enough of its documents hold, with no limit on their number.
+A term carries its language, so that every language has its own vocabulary. The vectors are
+summed by group without making any of them dense, and pairs of groups are compared on the terms
 that they hold: what neither holds adds the same for each term, and what one of them holds
 adds by its count alone. Only terms that both hold are met one by one.
 
@@ -17,20 +17,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.errors import IllegalArgumentException
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftloom.llm.scratch import stored
 from shiftloom.llm.words import slices
-from shiftloom.session import scratch_path
 
 #: What is no part of a term: all of ASCII but its letters.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
-LARGEST = 2**31 - 1  # terms of a vocabulary: all that an index can number
+LARGEST = 2**31 - 1  # terms of a bundle: all that an index can number
 UNIT = 1_000_000_000
 CUT = "\0"  # between a term and its language; no term holds it
 
@@ -57,34 +54,34 @@ def audited(
     value 0 and no terms. Texts of any length are read whole. Other columns are left out;
     an empty table has no rows.
 
-    The vocabulary of one fit is held by the driver and sent to all executors. It grows
-    with the number of different words only; ``parts`` fits that many hash parts of it one
-    after the other, where one is too large for the driver.
+    The terms are a table, of which neither the driver nor an executor holds all. ``parts``
+    has no use any more; a vocabulary on the driver once was fitted in that many parts.
     """
     rows = docs.select(
         *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text")))
     )
     groups = rows.select("lang", "source").distinct()
     groups = stored(groups.withColumn("group", F.row_number().over(W.orderBy("lang", "source"))), "groups")
-    counts, words = counted(rows.join(groups, ["lang", "source"]), least, parts)
-    counts, words = stored(counts, "counts"), stored(words, "words")
+    counts, words = counted(rows.join(groups, ["lang", "source"]), least)
     sized = stored(sizes(groups, counts, words), "sizes")
     own = counts.join(sized, "group").withColumn("p", share(F.col("n"), F.col("total"), F.col("kept")))
     own = stored(own, "shares")
     return pairs(sized, own).unionByName(terms(own, words, top))
 
 
-def counted(rows: DataFrame, least: int, parts: int = 1) -> tuple[DataFrame, DataFrame]:
+def counted(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """How often each group's documents hold each kept term (group, id, n), and the terms (lang, id, term).
 
-    An id belongs to one term of one language.
+    An id belongs to one term of one language. Both are stored tables.
     """
-    rows = rows.select("group", "lang", "text").mapInArrow(named, "group int, terms array<string>")
-    fits = [fitted(rows.select("group", _of_part(F.col("terms"), k, parts).alias("terms")), least, k) for k in range(parts)]
-    counts, words = fits[0]
-    for more, others in fits[1:]:
-        counts, words = counts.unionByName(more), words.unionByName(others)
-    return counts, words
+    each = rows.select("group", "lang", "text").mapInArrow(bundles, "group int, term string, n long, documents long")
+    each = stored(each.groupBy("group", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents")), "held")
+    kept = each.groupBy("term").agg(F.sum("documents").alias("documents")).filter(F.col("documents") >= least)
+    # ids are stored with their terms before anything uses them
+    kept = stored(kept.select("term", F.monotonically_increasing_id().alias("id")), "kept")
+    cut = F.instr("term", CUT)
+    words = kept.select(F.substring("term", cut + 1, F.length("term")).alias("lang"), "id", F.substring("term", F.lit(1), cut - 1).alias("term"))
+    return stored(each.join(kept, "term").select("group", "id", "n"), "counts"), stored(words, "words")
 
 
 def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,55 +99,57 @@ def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("group"), terms], names=["group", "terms"])
 
 
-def _of_part(named: Column, k: int, parts: int) -> Column:
-    return named if parts == 1 else F.filter(named, lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == k)
-
-
-def fitted(rows: DataFrame, least: int, part: int) -> tuple[DataFrame, DataFrame]:
-    """Counts and terms of one vocabulary."""
-    spark = rows.sparkSession
-    number = (F.lit(part).cast("long") * (LARGEST + 1) + F.col("at")).alias("id")
-    try:
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=LARGEST).fit(rows)
-    except IllegalArgumentException as error:
-        if "vocabulary size" not in str(error):
-            raise
-        return (  # no term is in enough documents
-            spark.createDataFrame([], "group int, id long, n long"),
-            spark.createDataFrame([], "lang string, id long, term string"),
-        )
-    vector = F.unwrap_udt("vector")
-    sparse = model.transform(rows).select("group", vector["indices"].alias("at"), vector["values"].alias("n"))
-    # vectors of a batch are added up before their entries become rows
-    each = sparse.mapInArrow(summed, "group int, at int, n long")
-    counts = each.groupBy("group", "at").agg(F.sum("n").alias("n"))
-    # the saved model is a table, so that the words need not pass through Python
-    path = scratch_path(spark, "vocabulary")
-    model.save(path)
-    words = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("at", "word"))
-    cut = F.instr("word", CUT)
-    words = words.select(
-        F.substring("word", cut + 1, F.length("word")).alias("lang"), number, F.substring("word", F.lit(1), cut - 1).alias("term")
-    )
-    return counts.select("group", number, "n"), words
+BUNDLE = 1 << 21  # terms of whole slices that are counted together
+
+
+def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often a group's documents of a bundle hold a term, and how many of them do."""
+    group, lengths, terms = [], [], []
+    for part in named(batches):
+        group.append(part.column("group"))
+        lengths.append(pc.list_value_length(part.column("terms")).to_numpy())
+        terms.append(part.column("terms").flatten().dictionary_encode())
+        if sum(map(len, terms)) >= BUNDLE:
+            yield from _bundle(group, lengths, terms)
+            group, lengths, terms = [], [], []
+    if group:
+        yield from _bundle(group, lengths, terms)
+
+
+def _bundle(group: list[pa.Array], lengths: list[np.ndarray], terms: list[pa.DictionaryArray]) -> Iterator[pa.RecordBatch]:
+    chunks = pa.chunked_array(terms).unify_dictionaries().chunks
+    term = chunks[-1].dictionary  # that of the last chunk holds all, as far as chunks have terms
+    code = np.concatenate([c.indices.to_numpy() for c in chunks]).astype(np.int64)
+    if not len(code):
+        return
+    rows = sum(map(len, lengths))
+    key, n = np.unique(np.repeat(np.arange(rows), np.concatenate(lengths)) << 31 | code, return_counts=True)
+    ends = pa.array(np.searchsorted(key >> 31, np.arange(rows + 1)).astype(np.int32))
+    vectors = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in ((key & LARGEST).astype(np.int32), n.astype(np.float64))]
+    batch = pa.RecordBatch.from_arrays([pa.concat_arrays(group), *vectors], names=["group", "at", "n"])
+    for part in summed(iter([batch]), documents=True):
+        columns = [part.column("group"), term.take(part.column("at")), part.column("n"), part.column("documents")]
+        yield pa.RecordBatch.from_arrays(columns, names=["group", "term", "n", "documents"])
 
 
 ENTRIES = 1 << 19  # of vectors that are added up at once; a longer vector is taken whole
 
 
-def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors (group, at, n) by group and entry, a bounded slice of a batch at a time."""
+def summed(batches: Iterator[pa.RecordBatch], documents: bool = False) -> Iterator[pa.RecordBatch]:
+    """Sums of the sparse vectors (group, at, n) by group and entry, a bounded slice of a batch at a time.
+
+    With ``documents`` also the number of vectors that hold the entry."""
     for batch in batches:
         ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch.column("at")), 0).to_numpy())])
         row = 0
         while row < len(batch):
             stop = max(row + 1, int(np.searchsorted(ends, ends[row] + ENTRIES, "right")) - 1)
-            yield _summed(batch.slice(row, stop - row))
+            yield _summed(batch.slice(row, stop - row), documents)
             row = stop
         pa.default_memory_pool().release_unused()
 
 
-def _summed(part: pa.RecordBatch) -> pa.RecordBatch:
+def _summed(part: pa.RecordBatch, documents: bool) -> pa.RecordBatch:
     at, n = part.column("at"), part.column("n")
     owner = np.asarray(pc.list_parent_indices(at))
     group = part.column("group").to_numpy()[owner].astype(np.int64)
@@ -158,7 +157,11 @@ def _summed(part: pa.RecordBatch) -> pa.RecordBatch:
     key, place = np.unique(key, return_inverse=True)
     total = np.bincount(place, pc.list_flatten(n).to_numpy(), len(key)).astype(np.int64)
     columns = [(key >> 31).astype(np.int32), (key & LARGEST).astype(np.int32), total]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "at", "n"])
+    names = ["group", "at", "n"]
+    if documents:
+        columns.append(np.bincount(place, minlength=len(key)))
+        names.append("documents")
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
 def sizes(groups: DataFrame, counts: DataFrame, words: DataFrame) -> DataFrame:

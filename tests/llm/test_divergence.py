@@ -125,3 +125,39 @@ def test_slices_of_texts(monkeypatch):
     assert [r["terms"] for r in got] == [
         ["red\0en", "red\0en", "é\0en"], [], [], ["x\0en"] * 50, ["last\0fr", "É\0fr"],
     ]
+
+
+@pytest.mark.parametrize("size", [1, 4, 1000])
+def test_bundles_count_terms_and_documents(monkeypatch, size):
+    import pyarrow as pa
+
+    from shiftloom.llm import words
+
+    texts = ["a b a", "a c", "", "a a a a a", "b", "d d", "a", "", ""]
+    group = [1, 1, 2, 2, 2, 1, 3, 3, 3]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(group, pa.int32()), pa.array(["en"] * 9), pa.array(texts)], names=["group", "lang", "text"]
+    )
+    monkeypatch.setattr(divergence, "BUNDLE", size)
+    monkeypatch.setattr(words, "ROWS", 2)
+    counts, documents, rows = Counter(), Counter(), 0
+    for part in divergence.bundles(iter([batch])):
+        for r in part.to_pylist():
+            rows += 1
+            counts[r["group"], r["term"]] += r["n"]
+            documents[r["group"], r["term"]] += r["documents"]
+    split = [(g, t + "\0en", text.split()) for g, text in zip(group, texts) for t in text.split()]
+    assert counts == Counter((g, t) for g, t, _ in split)
+    assert documents == Counter((g, t + "\0en") for g, text in zip(group, texts) for t in set(text.split()))
+    assert size < 1000 or rows == len(counts)  # a term once for each group
+
+
+def test_no_vocabulary_on_the_driver(spark):
+    seen = []
+    real = spark.sparkContext.broadcast
+    try:
+        spark.sparkContext.broadcast = lambda x: seen.append(x) or real(x)
+        assert found(spark, ROWS, least=1) == plain(ROWS, 1)
+    finally:
+        del spark.sparkContext.broadcast
+    assert not seen and not hasattr(divergence, "CountVectorizer")
