@@ -10,13 +10,19 @@ the whole, so the joined tokens are exactly those of the whole text.
 
 Text that fits one leaf is encoded where it is read, without a shuffle. There, what
 stands between ASCII white space is encoded once for each worker and remembered: white
-space always ends a piece, and no special token holds any.
+space always ends a piece, and no special token holds any. Where the vocabulary file
+splits text by ``SPLIT`` and a piece holds only characters of which normalizing and
+splitting are known (ASCII and the letters of Latin-1), its words are remembered instead
+and given to the model alone; there are fewer of them, and the library's normalizing and
+splitting take most of its time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -31,6 +37,31 @@ PIECE = 100  # characters of a remembered piece at most
 
 SPACE = "\t\n\r\x0b\x0c"  # and the space itself
 
+# What a vocabulary file says on normalizing and splitting, if its words may be split here.
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+ODD = re.compile("[^ -~À-ÖØ-öø-ÿ]")  # a character that is left to the library
+WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@[-`{-~]+")  # of lower-cased text without odd ones
+
+
+def _byte_level() -> dict[int, str]:
+    """Letters of Latin-1 to the characters that stand for their bytes."""
+    own = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0)]
+    rest = [b for b in range(256) if b not in own]
+    names = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+BYTES = _byte_level()
+
 
 class Codec:
     """One vocabulary file: encodes text, decodes ids, remembers short pieces."""
@@ -42,12 +73,23 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # (tokens, ids, decoded) of pieces: those of late, and those of before
-        self.known: dict[str, tuple[int, str, str]] = {"": (0, "", "")}
-        self.before: dict[str, tuple[int, str, str]] = {}
+        self.model = self.tokenizer.model
+        # (ids, decoded) of pieces: those of late, and those of before
+        self.known: dict[str, tuple[str, str]] = {}
+        self.before: dict[str, tuple[str, str]] = {}
         # without a decoder, decoding joins the tokens by spaces
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.words = None if self.tokenizer.decoder else [self.tokenizer.id_to_token(i) for i in range(size)]
+        self.names = [str(i) for i in range(size)]
+        said = json.loads(self.tokenizer.to_str())
+        self.marks = [t["content"] for t in said["added_tokens"]]
+        self.splits = (
+            (said["normalizer"] or {}).get("normalizers") == NORMAL
+            and (said["pre_tokenizer"] or {}).get("pretokenizers") == SPLIT
+            and not said["post_processor"]
+            and not any(t["normalized"] or t["single_word"] for t in said["added_tokens"])
+            and all(len(WORD.findall(m.lower())) > 1 for m in self.marks)  # no word is a mark
+        )
 
     def tokens(self, text: str, at: int = 0) -> list[tuple[int, int, int]]:
         """(id, start, stop) of each token, counted in characters from ``at``."""
@@ -59,37 +101,83 @@ class Codec:
             return " ".join([self.words[i] for i in ids])
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
-    def entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
-
-    def learn(self, pieces: set[str]) -> None:
-        """See that the pieces are known, as far as they are short."""
+    def entry(self, ids: list[int]) -> tuple[str, str]:
+        return " ".join([self.names[i] for i in ids]), self.decode(ids)
+
+    def odd(self, text: str) -> bool:
+        """Whether the library has to split the text."""
+        return not self.splits or ODD.search(text) is not None or any([m in text for m in self.marks])
+
+    def pieces(self, text: str) -> list[str]:
+        """What is encoded by itself, in order: words, and odd strings between spaces."""
+        if not self.odd(text):
+            return WORD.findall(text.lower())
+        out = []
+        for piece in text.split(" "):
+            if not piece:
+                continue
+            if self.odd(piece):
+                out.append(piece)
+            else:
+                out += WORD.findall(piece.lower())
+        return out
+
+    def word(self, word: str) -> tuple[str, str]:
+        """Entry of a word that is not odd: the model alone, on the characters for its bytes."""
+        bytewise = word if word.isascii() else word.translate(BYTES)
+        return self.entry([t.id for t in self.model.tokenize(bytewise)])
+
+    def long(self, piece: str) -> tuple[str, str]:
+        """Entry of a piece that is too long to be remembered."""
+        return self.entry([t[0] for t in self.joined(piece)]) if self.odd(piece) else self.word(piece)
+
+    def learn(self, pieces: set[str]) -> tuple[dict[str, str], dict[str, str]]:
+        """Ids and decoded text of the pieces that are short; from now on they are known."""
         if len(self.known) > REMEMBERED:
-            self.known, self.before = {"": self.known[""]}, self.known
-        pieces = pieces.difference(self.known)
-        again = pieces.intersection(self.before)
-        self.known.update((p, self.before[p]) for p in again)
-        new = [p for p in pieces.difference(again) if len(p) <= PIECE]
-        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((p, self.entry(g.ids)) for p, g in zip(new, got))
+            self.known, self.before = {}, self.known
+        ids, decoded, odd = {}, {}, []
+        for piece in pieces:
+            got = self.known.get(piece)
+            if got is None:
+                if len(piece) > PIECE:
+                    continue
+                got = self.before.get(piece)
+                if got is None:
+                    if self.odd(piece):
+                        odd.append(piece)
+                        continue
+                    got = self.word(piece)
+                self.known[piece] = got
+            ids[piece], decoded[piece] = got
+        for piece, code in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            got = self.known[piece] = self.entry(code.ids)
+            ids[piece], decoded[piece] = got
+        return ids, decoded
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(tokens, sha256 of the ids, sha256 of the decoded text) of each text."""
         for space in SPACE:
             texts = [text.replace(space, " ") for text in texts]
-        split = [text.split(" ") for text in texts]
-        self.learn(set().union(*split))
-        return [self._digest(pieces) for pieces in split]
-
-    def _digest(self, pieces: list[str]) -> tuple[int, str, str]:
-        known = self.known
-        got = [known.get(p) or self.entry([t[0] for t in self.joined(p)]) for p in pieces if p]
+        split = [self.pieces(text) for text in texts]
+        pieces = set().union(*split)
+        ids, decoded = self.learn(pieces)
+        rare = len(ids) < len(pieces) or "" in ids.values()  # a piece is long, or has no token
+        return [(self._rare if rare else self._digest)(of, ids, decoded) for of in split]
+
+    def _digest(self, pieces: list[str], ids: dict[str, str], decoded: dict[str, str]) -> tuple[int, str, str]:
+        all_ids = " ".join(map(ids.__getitem__, pieces))
         return (
-            sum([g[0] for g in got]),
-            sha(" ".join([g[1] for g in got if g[0]])),
-            sha(" ".join([g[2] for g in got if g[0]])),
+            all_ids.count(" ") + 1 if all_ids else 0,
+            sha(all_ids),
+            sha(" ".join(map(decoded.__getitem__, pieces))),
         )
 
+    def _rare(self, pieces: list[str], ids: dict[str, str], decoded: dict[str, str]) -> tuple[int, str, str]:
+        """The same where long pieces are not among the known ones and some have no token."""
+        own = {p: self.long(p) for p in set(pieces) if p not in ids}
+        ids, decoded = ({p: own[p][k] if p in own else known[p] for p in pieces} for k, known in enumerate((ids, decoded)))
+        return self._digest([p for p in pieces if ids[p]], ids, decoded)
+
     def joined(self, text: str, leaf: int = LEAF) -> list[tuple[int, int, int]]:
         """Tokens of a text of any length, by halves."""
         cuts = leaves(len(text), leaf)

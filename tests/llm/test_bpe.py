@@ -57,3 +57,24 @@ def test_digests_of_long_null_and_repeated_rows(spark, codec):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(docs, vocabulary("word_bpe_49k.json")).count() == 0
+
+
+def test_words_are_split_as_the_library_does(codec):
+    """Words of ASCII and Latin-1 are split here; odd characters, special tokens and long words stay with the library."""
+    assert codec.splits
+    r = random.Random(5)
+    latin = [chr(c) for c in range(1, 256)]
+    some = ["'s", "'RE", "'ll", "Don't", "it's", "É", "ß", "ÿ", "ÀB", " ", "\n", "x" * 150, "<|endoftext|>", "<|ENDOFTEXT|>", "a<|startoftext|>b",
+            "—", "…", "Ω", "ı", "é", " ", "\x85", " ", "12", "½", "²", "ª", "×"]
+    texts = ["".join(r.choice(latin if r.random() < 0.3 else some[: r.randint(1, len(some))]) for _ in range(60)) for _ in range(400)]
+    texts += ["".join(r.choice(latin[31:126] + [" "] * 20) for _ in range(200)) for _ in range(400)] + ["", " ", "\x85", "\x85 a"]
+    want = [whole(codec, text)[1] for text in texts]
+    assert codec.digests(texts) == want
+    assert [codec.digests([text])[0] for text in texts] == want
+
+
+def test_plain_words_are_remembered_whatever_stands_around_them():
+    """Case and marks around a word make no new pieces, so that few of them are encoded."""
+    codec = bpe.Codec(vocabulary("word_bpe_49k.json"))
+    codec.digests(["word WORD, (word) Word. «word» \"word's\""])
+    assert "word" in codec.known and "WORD," not in codec.known and len(codec.known) < 10
