@@ -76,3 +76,10 @@ def test_no_window_over_a_whole_conversation(spark):
     plan = plan_of(QUERIES["message_order"](spark, FOLDER))
     windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
     assert windows and all("_bucket" in line for line in windows)
+
+
+@needs_data
+def test_chart_frames_join_once(spark):
+    """The frames read rows that were joined and written before, not the summaries once for each frame."""
+    plan = plan_of(QUERIES["chart_frame"](spark, FOLDER))
+    assert "Join" not in plan and "lineitem" not in plan
