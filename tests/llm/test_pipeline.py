@@ -79,6 +79,18 @@ def test_stages_one_by_one(spark, folder):
     assert Counter(map(tuple, got)) == Counter(whole)
 
 
+def test_shared_passages_of_over_50_words_go_from_the_texts(spark):
+    passage = " ".join(f"p{k}" for k in range(51))
+    assert len(passage) < 400
+    texts = [" ".join(f"own{d}x{k}" for k in range(40)) for d in range(6)]
+    docs = [(d, f"{t} {passage} end{d}", "en", "s", 1) for d, t in enumerate(texts[:4])]
+    docs += [(9, f"{texts[4]} {passage[:-4]} end9", "en", "s", 1), (10, texts[5], "en", "s", 1)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x.doc_id: (x.text, x.n_chars) for x in dict(corpus_pipeline.STAGES)["suffix-array dedup"](spark, table, "").collect()}
+    want = {d: f"{t}  end{d}" for d, t in enumerate(texts[:4])} | {9: docs[4][1], 10: texts[5]}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
+
+
 def test_run_is_the_stages_in_order(spark, folder):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "minhash near-dedup", "suffix-array dedup", "mixing sources to target weights",
